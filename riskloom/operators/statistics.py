@@ -96,11 +96,11 @@ def histogram(df: DataFrame, value: str, bins: int, lo: float | None = None, hi:
     """
     measured = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     if lo is None or hi is None:
-        ends = measured.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-        low = ends["lo"] if lo is None else F.lit(float(lo))
-        high = ends["hi"] if hi is None else F.lit(float(hi))
-    else:
-        low, high = F.lit(float(lo)), F.lit(float(hi))
+        # One row of two numbers: as literals they cost nothing where the bins are computed.
+        ends = measured.agg(F.min("v"), F.max("v")).first()
+        lo = ends[0] if lo is None else lo
+        hi = ends[1] if hi is None else hi
+    low, high = F.lit(lo).cast("double"), F.lit(hi).cast("double")
     bin_no = F.when(high > low, F.least(F.floor((F.col("v") - low) / (high - low) * bins), F.lit(bins - 1))).otherwise(F.lit(0))
     width = (high - low) / bins
     return (

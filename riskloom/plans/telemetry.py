@@ -26,7 +26,7 @@ def log_listing(log: DataFrame, n: int = 20, prefix: str = DEFAULT_PREFIX) -> Da
 
 def log_latencies(log: DataFrame, *, seconds: int, as_of=None, prefix: str = DEFAULT_PREFIX) -> DataFrame:
     """Request-to-response milliseconds of the records of the last ``seconds``."""
-    return extract(within_last(log, "timestamp", seconds, as_of, inclusive=True), prefix).select(
+    return extract(within_last(log, "timestamp", seconds, as_of, inclusive=True), prefix, inputs=[]).select(
         "timestamp", "query_id", "service_name", "request_timestamp", "response_timestamp",
         millis_between("request_timestamp", "response_timestamp").alias("inference_latency_ms"))
 

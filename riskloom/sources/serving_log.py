@@ -36,10 +36,10 @@ class LogKeys:
     def resource_schema(self) -> StructType:
         return _texts([self.query_id, self.service_name])
 
-    def record_schema(self) -> StructType:
+    def record_schema(self, inputs: list[str]) -> StructType:
         return _texts([
             self.function_name, self.request_time, self.response_time, self.prediction,
-            *[self.request(c) for c in fv.MODEL_INPUT_COLS]])
+            *[self.request(c) for c in inputs]])
 
 
 def _texts(names: list[str]) -> StructType:
@@ -90,20 +90,27 @@ def as_number(text: Column, name: str) -> Column:
     return text if kind.typeName() == "string" else text.try_cast("double")
 
 
-def extract(log: DataFrame, prefix: str = DEFAULT_PREFIX) -> DataFrame:
-    """Typed columns of the log: timestamp, ids, names, times, the 22 inputs, the prediction.
-    Each JSON column is parsed once."""
+def extract(log: DataFrame, prefix: str = DEFAULT_PREFIX, inputs: list[str] = fv.MODEL_INPUT_COLS) -> DataFrame:
+    """Typed columns of the log: timestamp, ids, names, times, the wanted inputs, the prediction.
+
+    Each JSON column is parsed once per row: as the input of ``inline`` the parse is neither copied
+    into the filters and projections that use its fields nor split into one parse per field.
+    """
     keys = LogKeys(prefix)
-    parsed = log.select(
-        "timestamp",
-        F.from_json("resource_attributes", keys.resource_schema()).alias("_resource"),
-        F.from_json("record_attributes", keys.record_schema()).alias("_record"))
-    resource, record = F.col("_resource"), F.col("_record")
+    with_resource = log.select(
+        "timestamp", "record_attributes", F.inline(F.array(F.from_json("resource_attributes", keys.resource_schema()))))
+    parsed = with_resource.select(
+        "timestamp", *[f"`{n}`" for n in keys.resource_schema().names],
+        F.inline(F.array(F.from_json("record_attributes", keys.record_schema(inputs)))))
+
+    def text(name: str) -> Column:
+        return F.col(f"`{name}`")
+
     return parsed.select(
         "timestamp",
-        resource[keys.query_id].alias("query_id"), resource[keys.service_name].alias("service_name"),
-        record[keys.function_name].alias("function_name"),
-        record[keys.request_time].try_cast("timestamp_ntz").alias("request_timestamp"),
-        record[keys.response_time].try_cast("timestamp_ntz").alias("response_timestamp"),
-        *[as_number(record[keys.request(c)], c).alias(c) for c in fv.MODEL_INPUT_COLS],
-        record[keys.prediction].try_cast("double").alias(fv.PREDICTION_COL))
+        text(keys.query_id).alias("query_id"), text(keys.service_name).alias("service_name"),
+        text(keys.function_name).alias("function_name"),
+        text(keys.request_time).try_cast("timestamp_ntz").alias("request_timestamp"),
+        text(keys.response_time).try_cast("timestamp_ntz").alias("response_timestamp"),
+        *[as_number(text(keys.request(c)), c).alias(c) for c in inputs],
+        text(keys.prediction).try_cast("double").alias(fv.PREDICTION_COL))

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, LongType, TimestampNTZType
@@ -35,11 +34,8 @@ def from_rows(spark: SparkSession, rows: list[tuple], schema: StructType | list[
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException:
-        return False
-    return True
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 # --- writing ------------------------------------------------------------------------------------
