@@ -61,11 +61,8 @@ def asof_join(
     )
 
     carried = carry_forward(spine, facts, keys)
-    fact = F.coalesce("_here", "_before")
-    return filled.join(carried, group, "left").select(
-        *[F.col("_row")[c].alias(c) for c in left.columns],
-        *[fact[c].alias(c) for c in payload],
-    )
+    matched = filled.join(carried, group, "left").select("_row", F.coalesce("_here", "_before").alias("_found"))
+    return matched.select("_row.*", "_found.*")
 
 
 def carry_forward(spine: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:

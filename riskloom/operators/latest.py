@@ -12,7 +12,7 @@ def latest_per_key(df: DataFrame, keys: list[str], ts: str, tiebreak: tuple[str,
     rest = [c for c in df.columns if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(ts, *tiebreak))
     picked = df.groupBy(*keys).agg(newest.alias("_newest"))
-    return picked.select(*[F.col(c) if c in keys else F.col("_newest")[c].alias(c) for c in df.columns])
+    return picked.select(*[f"`{c}`" if c in keys else f"_newest.`{c}`" for c in df.columns])
 
 
 def newest_rows(df: DataFrame, n: int, ts: str, tiebreak: tuple[str, ...] = ()) -> DataFrame:

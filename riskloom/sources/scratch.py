@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 SMALL_ROWS = 100_000
 
@@ -35,14 +35,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def settled(df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
-    """Compute a fitted table once: ``(table, is_small)``.
+def settled(df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, list[Row] | None]:
+    """Compute a fitted table once: ``(table, rows)``.
 
-    At most ``limit`` rows become a local table that is safe to broadcast. A larger one is
-    checkpointed instead and must be joined by shuffling; no more than ``limit + 1`` rows ever
-    reach the driver.
+    At most ``limit`` rows become a local table that is safe to broadcast, and are returned as
+    well. A larger table is checkpointed, comes without rows, and must be joined by shuffling; no
+    more than ``limit + 1`` rows ever reach the driver.
     """
     rows = df.limit(limit + 1).collect()
     if len(rows) <= limit:
-        return df.sparkSession.createDataFrame(rows, df.schema), True
-    return checkpointed(df), False
+        return df.sparkSession.createDataFrame(rows, df.schema), rows
+    return checkpointed(df), None

@@ -6,42 +6,52 @@ All formulas are integer arithmetic on the table keys, so any SQL engine derives
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskloom import fixed_values as fv
-from riskloom.functions.numeric import pick, rounded
+from riskloom.functions.numeric import rounded
 from riskloom.functions.rating import annual_premium, car_age, car_value
-from riskloom.functions.text import customer_key, policy_key
 
 YEAR = 2026
 
 
+@lru_cache(maxsize=None)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+    """A test table; its schema is read from the files once per session."""
+    path = os.path.join(folder, f"{name}.parquet")
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
 
+def one_of(values: list, index: str) -> str:
+    """SQL for the element of a constant list at a 0-based index."""
+    items = ", ".join(f"'{x}'" if isinstance(x, str) else f"{x}D" if isinstance(x, float) else f"{x}L" for x in values)
+    return f"element_at(array({items}), CAST({index} + 1 AS INT))"
 
-def div(a: Column, b: int) -> Column:
-    """Whole-number division of non-negative keys."""
-    return ((a - a % b) / b).cast("bigint")
+
+def padded(prefix: str, number: str, width: int) -> str:
+    return f"'{prefix}' || lpad(CAST({number} AS STRING), greatest({width}, length(CAST({number} AS STRING))), '0')"
 
 
 def people(source: DataFrame, key: str, region: str) -> DataFrame:
     """Customer attributes for every row of a keyed table."""
-    k = F.col(key).cast("bigint")
-    age = 18 + (k * 7) % 63
-    return source.select(
-        customer_key(k).alias("customer_id"),
-        pick(fv.FIRST_NAMES, k % 16).alias("first_name"),
-        pick(fv.LAST_NAMES, div(k, 16) % 16).alias("last_name"),
-        age.alias("age"),
-        F.when(k % 2 == 0, "M").otherwise("F").alias("gender"),
-        F.greatest(F.lit(1), F.least(age - 16, (k * 13) % 45)).alias("years_licensed"),
-        ((k * 5) % 7).alias("claims_history"),
-        (300 + (k * 37) % 551).alias("credit_score"),
-        pick(fv.STATES, F.col(region).cast("bigint") % 10).alias("state"),
-    )
+    return source.selectExpr(f"CAST({key} AS BIGINT) AS k", f"CAST({region} AS BIGINT) AS r").selectExpr(
+        f"{padded('CUST_', 'k', 6)} AS customer_id",
+        f"{one_of(fv.FIRST_NAMES, 'k % 16')} AS first_name",
+        f"{one_of(fv.LAST_NAMES, '(k div 16) % 16')} AS last_name",
+        "18 + (k * 7) % 63 AS age",
+        "CASE WHEN k % 2 = 0 THEN 'M' ELSE 'F' END AS gender",
+        "greatest(1, least(2 + (k * 7) % 63, (k * 13) % 45)) AS years_licensed",
+        "(k * 5) % 7 AS claims_history",
+        "300 + (k * 37) % 551 AS credit_score",
+        f"{one_of(fv.STATES, 'r % 10')} AS state")
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,30 +63,28 @@ def prospects(spark: SparkSession, folder: str) -> DataFrame:
     return people(table(spark, folder, "part"), "p_partkey", "p_size")
 
 
-def vehicle_columns(o: Column) -> dict[str, Column]:
-    make = pick(list(fv.CAR_MAKES), o % 8)
-    return {
-        "car_make": make,
-        "car_model": F.concat(make, F.lit("-"), (div(o, 8) % 5).cast("string")),
-        "car_year": 2010 + o % 16,
-        "kilometers": 1000 + (o * 97) % 240000,
-        "engine_size": pick(fv.ENGINE_SIZES, div(o, 2) % 9),
-        "fuel_type": F.when(o % 8 == 6, "Electric").otherwise(pick(fv.FUEL_TYPES, div(o, 3) % 4)),
-        "transmission": pick(fv.TRANSMISSIONS, div(o, 5) % 3),
-        "coverage_type": pick(fv.COVERAGE_TYPES, div(o, 7) % 4),
-    }
+def vehicle_columns(o: str) -> list[str]:
+    make = one_of(list(fv.CAR_MAKES), f"{o} % 8")
+    return [
+        f"{make} AS car_make",
+        f"{make} || '-' || CAST(({o} div 8) % 5 AS STRING) AS car_model",
+        f"2010 + {o} % 16 AS car_year",
+        f"1000 + ({o} * 97) % 240000 AS kilometers",
+        f"{one_of(fv.ENGINE_SIZES, f'({o} div 2) % 9')} AS engine_size",
+        f"CASE WHEN {o} % 8 = 6 THEN 'Electric' ELSE {one_of(fv.FUEL_TYPES, f'({o} div 3) % 4')} END AS fuel_type",
+        f"{one_of(fv.TRANSMISSIONS, f'({o} div 5) % 3')} AS transmission",
+        f"{one_of(fv.COVERAGE_TYPES, f'({o} div 7) % 4')} AS coverage_type",
+    ]
 
 
 def vehicles(spark: SparkSession, folder: str) -> DataFrame:
     """Policies without the label: one per order."""
-    o = F.col("o_orderkey")
-    base = table(spark, folder, "orders").select(
-        policy_key(o).alias("policy_id"),
-        customer_key("o_custkey").alias("customer_id"),
-        *[c.alias(name) for name, c in vehicle_columns(o).items()],
-        pick(fv.DEDUCTIBLES, div(o, 11) % 5).cast("bigint").alias("deductible"),
-        F.col("o_orderdate").alias("updated_at"),
-    )
+    base = table(spark, folder, "orders").selectExpr(
+        f"{padded('POL_', 'o_orderkey', 7)} AS policy_id",
+        f"{padded('CUST_', 'o_custkey', 6)} AS customer_id",
+        *vehicle_columns("o_orderkey"),
+        f"{one_of(fv.DEDUCTIBLES, '(o_orderkey div 11) % 5')} AS deductible",
+        "o_orderdate AS updated_at")
     value = car_value("car_make", car_age("car_year", YEAR), "kilometers")
     return base.withColumn("estimated_car_value", rounded(value, 2))
 
@@ -97,23 +105,19 @@ def policies(spark: SparkSession, folder: str) -> DataFrame:
 
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """Quote requests, one per line item: keyed by part, so some ids are unknown; some have none."""
-    l = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    age = 18 + (l * 7) % 63
     value = car_value("car_make", F.col("car_age"), F.col("kilometers"))
-    cols = vehicle_columns(l)
-    year = cols.pop("car_year")
     return (
         table(spark, folder, "lineitem")
-        .select(
-            l.alias("request_id"),
-            F.when(F.col("l_returnflag") != "A", customer_key("l_partkey")).alias("customer_id"),
-            F.col("l_shipdate").alias("ts"),
-            (F.lit(YEAR) - year).alias("car_age"),
-            *[c.alias(name) for name, c in cols.items()],
-            age.alias("age"),
-            F.greatest(F.lit(1), F.least(age - 16, (l * 13) % 45)).alias("years_licensed"),
-            F.when(l % 2 == 0, "M").otherwise("F").alias("gender"),
-            pick(fv.STATES, F.col("l_suppkey") % 10).alias("state"),
-        )
+        .selectExpr("l_orderkey * 10 + l_linenumber AS l", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate")
+        .selectExpr(
+            "l AS request_id",
+            f"CASE WHEN l_returnflag <> 'A' THEN {padded('CUST_', 'l_partkey', 6)} END AS customer_id",
+            "l_shipdate AS ts",
+            *vehicle_columns("l"),
+            "18 + (l * 7) % 63 AS age",
+            "greatest(1, least(2 + (l * 7) % 63, (l * 13) % 45)) AS years_licensed",
+            "CASE WHEN l % 2 = 0 THEN 'M' ELSE 'F' END AS gender",
+            f"{one_of(fv.STATES, 'l_suppkey % 10')} AS state")
+        .selectExpr("* EXCEPT (car_year)", f"{YEAR} - car_year AS car_age")
         .withColumn("estimated_car_value", rounded(value, 2))
     )
