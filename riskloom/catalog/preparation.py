@@ -10,7 +10,8 @@ from riskloom.catalog import relational as rel
 from riskloom.catalog import sql as q
 from riskloom.functions.numeric import rounded
 from riskloom.operators import prep, statistics as st
-from riskloom.sources import generate, views as v
+from riskloom.sources import generate, tables, views as v
+from riskloom.sources.scratch import new_folder
 
 YEAR = v.YEAR
 CAR_TEXTS = ["car_make", "car_model", "fuel_type", "transmission", "coverage_type"]
@@ -38,20 +39,27 @@ def scaler_fit(spark, d):
         *[F.round(f"{c}_{s}", 9).alias(f"{c}_{s}") for c in LINE_NUMBERS for s in ("mean", "std")])
 
 
+def frozen_inputs(spark, d):
+    """The model input as a written dataset: fitting and transforming read it several times."""
+    root = new_folder(spark, "inputs")
+    tables.write_dataset(rel.inference_input(spark, d), root, "inputs", "v1")
+    return tables.read_dataset(spark, root, "inputs", "v1")
+
+
 def fitted_preparation(inputs):
     encoder = prep.fit_encoder(inputs)
     return encoder, prep.fit_scaler(prep.encode(inputs, encoder), fv.MODEL_FEATURE_COLS)
 
 
 def model_transform(spark, d):
-    inputs = rel.inference_input(spark, d)
+    inputs = frozen_inputs(spark, d)
     encoder, scaler = fitted_preparation(inputs)
     return prep.transform(inputs, encoder, scaler, ("policy_id",)).withColumns(
         {c: rounded(c, 6) for c in fv.MODEL_FEATURE_COLS})
 
 
 def transform_object(spark, d):
-    inputs = rel.inference_input(spark, d)
+    inputs = frozen_inputs(spark, d)
     encoder, scaler = fitted_preparation(inputs)
     t = prep.transform_struct(inputs, encoder, scaler)
     return t.select("policy_id", rounded(F.col("t")["car_age"], 6).alias("car_age_transformed"),

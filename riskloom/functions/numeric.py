@@ -73,17 +73,16 @@ def safe_float(c: Column | str, default=0.0, text: bool = False) -> Column:
     Java number suffixes ('1.5d', '2f'), which a string cast would accept, count as unparsable.
     """
     c = as_col(c)
-    value = c.try_cast("double")
-    missing = value.isNull() | F.isnan(value)
     if text:
-        missing = missing | F.coalesce(F.lower(F.trim(c)).rlike(r"[0-9.][df]$"), F.lit(True))
+        c = F.when(~F.lower(F.trim(c)).rlike(r"[0-9.][df]$"), c)
     fallback = default if isinstance(default, Column) else F.lit(default).cast("double")
-    return F.when(missing, fallback).otherwise(value)
+    return F.coalesce(F.nanvl(c.try_cast("double"), F.lit(None).cast("double")), fallback)
 
 
 def text_or(c: Column | str, default: str) -> Column:
     """Text, or the default for NULL and the empty string."""
-    return F.coalesce(F.nullif(as_col(c).cast("string"), F.lit("")), F.lit(default))
+    text = as_col(c).cast("string")
+    return F.coalesce(F.when(text != "", text), F.lit(default))
 
 
 def lookup(mapping: dict, key: Column | str, default=None, strict: bool = False) -> Column:

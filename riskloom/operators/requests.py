@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegralType, StringType
 
 from riskloom import fixed_values as fv
 from riskloom.functions.numeric import safe_float, safe_int, text_or
@@ -46,21 +46,26 @@ def sanitized_inputs(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The model columns with every missing or unreadable value replaced, absent columns included."""
     types = {f.name: f.dataType for f in df.schema.fields}
 
-    def raw(name: str) -> Column:
-        return F.col(name) if name in types else F.lit(None).cast("string")
+    def number(name: str, default, whole: bool) -> Column:
+        """The column's value or the default, by the least work its type needs."""
+        kind = types.get(name)
+        if kind is None:
+            return default if isinstance(default, Column) else F.lit(default).cast("bigint" if whole else "double")
+        if isinstance(kind, IntegralType):
+            return F.coalesce(F.col(name).cast("bigint" if whole else "double"), default if isinstance(default, Column) else F.lit(default))
+        if whole:
+            return safe_int(name, default)
+        return safe_float(name, default, isinstance(kind, StringType))
 
     def clean(name: str) -> Column:
         default = fv.REQUEST_DEFAULTS[name]
         if isinstance(default, str):
-            return text_or(raw(name), default)
-        is_text = isinstance(types.get(name, StringType()), StringType)
+            return text_or(name, default) if name in types else F.lit(default)
         whole = isinstance(default, int)
         if name in fv.REQUEST_FALLBACKS:
             other = fv.REQUEST_FALLBACKS[name]
-            other_default = fv.REQUEST_DEFAULTS[other]
-            other_text = isinstance(types.get(other, StringType()), StringType)
-            default = safe_int(raw(other), int(other_default)) if whole else safe_float(raw(other), float(other_default), other_text)
-        return safe_int(raw(name), default) if whole else safe_float(raw(name), default, is_text)
+            default = number(other, fv.REQUEST_DEFAULTS[other], whole)
+        return number(name, default, whole)
 
     return df.select(*keep, *[clean(c).alias(c) for c in fv.MODEL_INPUT_COLS])
 

@@ -164,11 +164,12 @@ def sliding_window_stats(
 
 def regression_metrics(df: DataFrame, by: list[str], label: str, prediction: str) -> DataFrame:
     """RMSE and MAE (2 decimals) and R2 (4 decimals) per group, in one aggregate."""
-    y, error = F.col(label), F.col(label) - F.col(prediction)
-    return df.filter(y.isNotNull() & F.col(prediction).isNotNull()).groupBy(*by).agg(
-        F.count("*").alias("n"),
+    # Pairs with a missing side have a NULL error and drop out of every aggregate. (A filter would
+    # make Spark compute the prediction twice: once to test it, once to use it.)
+    error = F.col(label) - F.col(prediction)
+    y = F.when(error.isNotNull(), F.col(label))
+    return df.groupBy(*by).agg(
+        F.count(error).alias("n"),
         rounded(F.sqrt(F.avg(error * error)), 2).alias("rmse"),
         rounded(F.avg(F.abs(error)), 2).alias("mae"),
-        rounded(F.lit(1.0) - F.try_divide(F.sum(error * error), F.count("*") * F.var_pop(y)), 4).alias("r2"))
-
-
+        rounded(F.lit(1.0) - F.try_divide(F.sum(error * error), F.count(error) * F.var_pop(y)), 4).alias("r2"))

@@ -7,12 +7,14 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from riskloom.session import tuned  # noqa: E402
+
 SF_SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def session() -> SparkSession:
     spark = (
-        SparkSession.builder.master("local[8]").appName("riskloom-tests")
+        tuned(SparkSession.builder).master("local[8]").appName("riskloom-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

@@ -105,12 +105,12 @@ def test_millisecond_boundaries(spark):
 
 
 def test_draws_are_stable_and_uniform(spark):
-    frame = spark.range(20000)
-    u = draws.uniform(7, "id", 3)
+    frame = draws.with_digests(spark.range(20000), 7, "id", 4)
+    u = draws.uniform(3)
     a = frame.select(F.sum(u), F.min(u), F.max(u)).first()
     b = frame.repartition(13).select(F.sum(u), F.min(u), F.max(u)).first()
     assert a[1:] == b[1:] and a[0] == pytest.approx(b[0]) and a[0] / 20000 == pytest.approx(0.5, abs=0.02)
-    z = frame.select(F.avg(draws.normal(7, "id", 0, 10.0, 2.0)), F.stddev(draws.normal(7, "id", 0, 10.0, 2.0))).first()
+    z = frame.select(F.avg(draws.normal(0, 10.0, 2.0)), F.stddev(draws.normal(0, 10.0, 2.0))).first()
     assert z[0] == pytest.approx(10, abs=0.1) and z[1] == pytest.approx(2, abs=0.1)
     share = frame.filter(draws.in_test_split(42, "id")).count() / 20000
     assert share == pytest.approx(0.2, abs=0.02)
