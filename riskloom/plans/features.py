@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.fixed_values import LABEL_COL, MODEL_INPUT_COLS
@@ -12,6 +12,8 @@ from riskloom.functions import rating
 from riskloom.functions.numeric import exact_sum, rounded
 from riskloom.functions.times import clock
 from riskloom.operators.asof import asof_join
+from riskloom.operators.latest import latest_per_key
+from riskloom.sources.tables import overwrite
 
 HISTORY_COLS = [
     "risk_score", "avg_claims_per_year", "total_policies", "avg_car_age", "avg_kilometers",
@@ -99,3 +101,17 @@ def refreshed_features(
         customers.join(keys, "customer_id", "left_semi"),
         policies.join(keys, "customer_id", "left_semi"),
         year=year, as_of=as_of)
+
+
+def refresh_table(path: str, rows: DataFrame, *, as_of: datetime) -> int:
+    """Add a refresh to the feature history: one folder per refresh time, replaced when a refresh is
+    repeated. The history serves point-in-time joins; its latest rows are the current features."""
+    return overwrite(rows, f"{path}/refreshed={as_of:%Y%m%dT%H%M%S}")
+
+
+def feature_history(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("refreshed")
+
+
+def current_features(spark: SparkSession, path: str) -> DataFrame:
+    return latest_per_key(feature_history(spark, path), ["customer_id"], "updated_at")

@@ -7,7 +7,7 @@ columns too, so that Parquet can skip files and row groups.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -82,6 +82,11 @@ def append_log(records: DataFrame, path: str) -> None:
     records.withColumn("log_date", F.to_date("timestamp")).write.mode("append").partitionBy("log_date").parquet(path)
 
 
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log as a table; filters on ``log_date``, ``timestamp`` and ``function_name`` skip files."""
+    return spark.read.parquet(path)
+
+
 def as_number(text: Column, name: str) -> Column:
     """A request attribute in its column's type; whole numbers round half up."""
     kind = input_type(name)

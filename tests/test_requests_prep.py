@@ -1,6 +1,7 @@
 """Feature view, request resolution, sanitising, encoding, scaling on literal rows."""
 
 import math
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +57,22 @@ def test_refresh_touches_changed_customers_only(people, policies, features):
     assert fresh.collect() == features.filter("customer_id = 'k1'").collect()
 
 
+def test_refresh_history(spark, people, policies, features):
+    path = scratch.new_folder(spark, "history")
+    timed = policies.withColumn("updated_at", F.col("updated_at").try_cast("timestamp_ntz"))
+    early = pf.customer_risk_features(people, policies.filter("policy_id = 'p1'"), year=2024, as_of="2024-01-10 00:00:00")
+    assert pf.refresh_table(path, early, as_of=datetime(2024, 1, 10)) == 3
+    late = pf.refreshed_features(people, timed, since="2024-01-10 00:00:00", year=2024, as_of="2024-03-01 00:00:00")
+    for _ in range(2):
+        assert pf.refresh_table(path, late, as_of=datetime(2024, 3, 1)) == 1
+    now = {r.customer_id: r.total_policies for r in pf.current_features(spark, path).collect()}
+    assert now == {"k1": 2, "k2": 0, "k3": 0}
+    spine = spark.createDataFrame([(i, "k1", t) for i, t in enumerate([datetime(2024, 1, 5), datetime(2024, 2, 1), datetime(2024, 3, 1)])],
+                                  "i int, customer_id string, ts timestamp_ntz")
+    got = {r.i: r.total_policies for r in pf.enriched_spine(spine, pf.feature_history(spark, path)).collect()}
+    assert got == {0: None, 1: 1, 2: 2}
+
+
 def request(i, customer_id):
     return (i, customer_id, 3, 30000, 2.0, 25000.0, 35, 17, "Toyota", "Camry", "Gasoline", "Automatic", "Standard", "M", "CA")
 
