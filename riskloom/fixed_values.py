@@ -107,7 +107,13 @@ GATE_THRESHOLD = 0.7
 EXPIRY_DAYS = 7
 WATERMARK_KEY = "TRANSFORM_TASK"
 WATERMARK_START = "1970-01-01 00:00:00"
+PROMOTE, ALERT = "promote_model", "send_alert"
+ALERT_TYPE = "MODEL_QUALITY"
+
+# --- fixed values: message formats -------------------------------------------------------------
 NOTHING_NEW_MESSAGE = "No new inference records to process."
+PROGRESS_MESSAGE = "Processed {rows} rows. Watermark updated to {mark}"
+ALERT_MESSAGE = "Model {version} did not meet promotion criteria. Metrics: {metrics}. Manual review recommended."
 
 # --- fixed values: display formats (Java date patterns) ----------------------------------------
 DATE_FORMAT = "yyyy-MM-dd"

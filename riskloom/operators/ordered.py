@@ -44,9 +44,11 @@ def with_position(df: DataFrame, by: list[str], order: list, cell: Column) -> Da
     )
 
 
-def dense_codes(values: DataFrame, by: list[str], value: str) -> DataFrame:
-    """0-based code of each (distinct) text value in sorted order within ``by``."""
-    return with_position(values, by, [value], F.substring(value, 1, 2)).select(
+def dense_codes(values: DataFrame, by: list[str], value: str, prefix_chars: int = 2) -> DataFrame:
+    """0-based code of each (distinct) text value in sorted order within ``by``. Values that share
+    their first ``prefix_chars`` characters are sorted by one task: raise it for very many values
+    with a common beginning."""
+    return with_position(values, by, [value], F.substring(value, 1, prefix_chars)).select(
         *by, value, F.col("position").cast("int").alias("code"))
 
 

@@ -95,7 +95,7 @@ def run_flow(
         report |= {"version": version, "metrics": model.metrics}
 
         report["decision"] = registry.check(MODEL_NAME, version, model.metrics, threshold=threshold)
-        if report["decision"] == "promote_model":
+        if report["decision"] == fv.PROMOTE:
             registry.promote(MODEL_NAME, version, at=as_of)
             production = load_model(spark, registry.default(MODEL_NAME)["artifact_path"])
             inputs = inference_input(policies, customers, features, year=year, keep=("policy_id",))

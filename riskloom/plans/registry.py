@@ -59,7 +59,7 @@ def gate_decisions(
     good = (score >= threshold) & (score >= F.col("production_score"))
     return candidates.join(production, "model", "left").withColumn(
         "decision",
-        F.when(F.col("production_version").isNull() | good, "promote_model").otherwise("send_alert"))
+        F.when(F.col("production_version").isNull() | good, fv.PROMOTE).otherwise(fv.ALERT))
 
 
 def expired_versions(events: DataFrame, *, as_of=None, days: int = fv.EXPIRY_DAYS) -> DataFrame:
@@ -130,12 +130,12 @@ class Registry:
 
 
 def alert_message(version: str, metrics: dict[str, float]) -> str:
-    return f"Model {version} did not meet promotion criteria. Metrics: {json.dumps(metrics)}. Manual review recommended."
+    return fv.ALERT_MESSAGE.format(version=version, metrics=json.dumps(metrics))
 
 
 def send_alert(spark: SparkSession, path: str, version: str, metrics: dict[str, float], at=None) -> str:
     """Append a quality alert to the alert table."""
     tables.ensure_table(spark, path, ALERTS)
     message = alert_message(version, metrics)
-    tables.insert_row(spark, path, ALERTS, alert_time=clock(at), alert_type="MODEL_QUALITY", message=message)
+    tables.insert_row(spark, path, ALERTS, alert_time=clock(at), alert_type=fv.ALERT_TYPE, message=message)
     return message

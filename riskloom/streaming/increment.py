@@ -85,7 +85,7 @@ class Progress:
     def message(self) -> str:
         if self.mark is None:
             return fv.NOTHING_NEW_MESSAGE
-        return f"Processed {self.rows} rows. Watermark updated to {self.mark}"
+        return fv.PROGRESS_MESSAGE.format(rows=self.rows, mark=self.mark)
 
 
 class Watermarks(tables.StateTable):

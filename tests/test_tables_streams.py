@@ -1,6 +1,7 @@
 """Tables, snapshots, datasets, incremental and continuous processing."""
 
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from riskloom.operators.latest import latest_per_key
 from riskloom.operators.prep import fit_encoder, fit_scaler, encode
 from riskloom import fixed_values as fv
 from riskloom.sources import serving_log, tables
-from riskloom.sources.scratch import new_folder
+from riskloom.sources.scratch import new_folder, shared_folder
 from riskloom.streaming import increment, live
 
 T0 = datetime(2024, 1, 1)
@@ -68,6 +69,18 @@ def test_datasets_are_immutable(spark):
         tables.write_dataset(spark.range(5), root, "d", "v1")
 
 
+def test_shared_folder_rules():
+    def session(configured, master):
+        conf = SimpleNamespace(get=lambda key, default=None: configured)
+        context = SimpleNamespace(getConf=lambda: conf, master=master, applicationId="app-1")
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    assert shared_folder(session("hdfs:///shared", "yarn")) == "hdfs:///shared"
+    assert shared_folder(session(None, "local[2]")) == shared_folder(session(None, "local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session(None, "yarn"))
+
+
 LOG = "timestamp timestamp_ntz, function_name string, id int"
 
 
