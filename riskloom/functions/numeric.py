@@ -43,8 +43,9 @@ def ratio(numerator: Column | str, denominator: Column | str, otherwise=0.0) ->
 
 
 def exact(c: Column | str, scale: int = 2) -> Column:
-    """Fixed-point value: its sums do not depend on the order partitions arrive in."""
-    return as_col(c).cast(f"decimal(28,{scale})")
+    """Fixed-point value: its sums do not depend on the order partitions arrive in. NaN and infinity
+    have none and become NULL."""
+    return as_col(c).try_cast(f"decimal(28,{scale})")
 
 
 def exact_sum(c: Column | str, scale: int = 2) -> Column:

@@ -164,5 +164,7 @@ def test_trailing_cutoff_is_exclusive(spark):
     df = spark.createDataFrame(rows, "ts timestamp_ntz, status string, ms double")
     r = st.trailing_stats(df, ts="ts", succeeded=F.col("status") == "success", latency="ms", seconds=30, as_of=at(30)).first()
     assert (r.total, r.successful, r.failed, r.success_rate, r.avg_latency, r.p95_latency) == (2, 1, 1, 50.0, 20.0, 20.0)
+    bad = df.withColumn("ms", F.when(F.col("ms") == 20, F.lit(float("nan"))).otherwise(F.col("ms")))
+    assert st.trailing_stats(bad, ts="ts", succeeded=F.col("status") == "success", latency="ms", seconds=30, as_of=at(30)).first().avg_latency == 0.0
     none = st.trailing_stats(df, ts="ts", succeeded=F.col("status") == "success", latency="ms", seconds=30, as_of=at(10**6)).first()
     assert (none.total, none.avg_latency, none.p99_latency) == (0, 0.0, 0.0)
