@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.catalog import Query
-from riskloom.llm import bpe, mixing, quality_rules, reputation, simhash
-from riskloom.llm.base import table
+from riskloom.llm import bpe, language, mixing, quality_rules, reputation, simhash
+from riskloom.llm.base import remainder, table
 
 #: The vocabulary file of op9; a parameter of the operator, never part of this repository.
 VOCABULARY = "byte_bpe_50k.json"
@@ -64,6 +64,12 @@ FROM f JOIN verdict ON f.host IS NOT DISTINCT FROM verdict.host
 """
 
 
+def op4_language(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    models = language.train(language.trained_on(docs))
+    return language.identified(docs, models).withColumn("held_out", remainder("doc_id", 3) == 1)
+
+
 def op6_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -126,6 +132,7 @@ FROM ruled JOIN v USING (host)
 QUERIES: dict[str, Query] = {
     "op1_simhash": Query(op1_simhash),
     "op2_quality_rules": Query(op2_quality_rules, OP2_SQL),
+    "op4_language": Query(op4_language),
     "op6_mixing": Query(op6_mixing),
     "op9_bpe": Query(op9_bpe),
     "op10_url_filters": Query(op10_url_filters, OP10_SQL),
