@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.catalog import Query
-from riskloom.llm import bpe, language, mixing, quality_rules, reputation, simhash
+from riskloom.llm import bpe, language, mixing, quality_rules, reputation, simhash, warc
 from riskloom.llm.base import remainder, table
 
 #: The vocabulary file of op9; a parameter of the operator, never part of this repository.
@@ -70,6 +70,21 @@ def op4_language(spark: SparkSession, d: str) -> DataFrame:
     return language.identified(docs, models).withColumn("held_out", remainder("doc_id", 3) == 1)
 
 
+def op5_warc(spark: SparkSession, d: str) -> DataFrame:
+    """What the archives say once they are written and read back."""
+    back = warc.read(warc.archived(table(spark, d, "pages")), bodies=False)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+o AS (SELECT payload_digest, payload_bytes, max(page_id) AS owner FROM p WHERE payload_bytes >= 1000 GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN owner <> page_id THEN owner END AS refers_to
+FROM p LEFT JOIN o USING (payload_digest, payload_bytes)
+"""
+
+
 def op6_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -133,6 +148,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash": Query(op1_simhash),
     "op2_quality_rules": Query(op2_quality_rules, OP2_SQL),
     "op4_language": Query(op4_language),
+    "op5_warc": Query(op5_warc, OP5_SQL),
     "op6_mixing": Query(op6_mixing),
     "op9_bpe": Query(op9_bpe),
     "op10_url_filters": Query(op10_url_filters, OP10_SQL),
