@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.catalog import Query
-from riskloom.llm import bpe, language, mixing, quality_rules, reputation, simhash, warc
+from riskloom.llm import bpe, language, mixing, passages, quality_rules, reputation, simhash, warc
 from riskloom.llm.base import remainder, table
 
 #: The vocabulary file of op9; a parameter of the operator, never part of this repository.
@@ -64,6 +64,10 @@ FROM f JOIN verdict ON f.host IS NOT DISTINCT FROM verdict.host
 """
 
 
+def op3_passages(spark: SparkSession, d: str) -> DataFrame:
+    return passages.documents_with_repeats(table(spark, d, "documents"))
+
+
 def op4_language(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     models = language.train(language.trained_on(docs))
@@ -147,6 +151,7 @@ FROM ruled JOIN v USING (host)
 QUERIES: dict[str, Query] = {
     "op1_simhash": Query(op1_simhash),
     "op2_quality_rules": Query(op2_quality_rules, OP2_SQL),
+    "op3_passages": Query(op3_passages),
     "op4_language": Query(op4_language),
     "op5_warc": Query(op5_warc, OP5_SQL),
     "op6_mixing": Query(op6_mixing),
