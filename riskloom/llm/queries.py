@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.catalog import Query
-from riskloom.llm import bpe, language, mixing, passages, quality_rules, reputation, simhash, warc
+from riskloom.llm import attention, bpe, language, mixing, passages, quality_rules, reputation, simhash, warc
 from riskloom.llm.base import remainder, table
 
 #: The vocabulary file of op9; a parameter of the operator, never part of this repository.
@@ -93,6 +93,12 @@ def op6_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    model = attention.train(attention.trained_on(docs), attention.trained_on(table(spark, d, "labels")))
+    return attention.scored(docs, model).withColumn("held_out", remainder("doc_id", 4) == 2)
+
+
 def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
     """Digests of the token ids and of the text that decoding them gives back."""
     tokens = bpe.encoded(table(spark, d, "documents"), vocabulary())
@@ -155,6 +161,7 @@ QUERIES: dict[str, Query] = {
     "op4_language": Query(op4_language),
     "op5_warc": Query(op5_warc, OP5_SQL),
     "op6_mixing": Query(op6_mixing),
+    "op7_quality_classifier": Query(op7_quality_classifier),
     "op9_bpe": Query(op9_bpe),
     "op10_url_filters": Query(op10_url_filters, OP10_SQL),
 }
