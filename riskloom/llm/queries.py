@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.catalog import Query
-from riskloom.llm import attention, bpe, language, mixing, passages, quality_rules, reputation, simhash, warc
+from riskloom.llm import attention, bpe, graph_search, language, mixing, passages, quality_rules, reputation, simhash, warc
 from riskloom.llm.base import remainder, table
 
 #: The vocabulary file of op9; a parameter of the operator, never part of this repository.
@@ -99,6 +99,10 @@ def op7_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     return attention.scored(docs, model).withColumn("held_out", remainder("doc_id", 4) == 2)
 
 
+def op8_graph_search(spark: SparkSession, d: str) -> DataFrame:
+    return graph_search.neighbours(table(spark, d, "embeddings"))
+
+
 def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
     """Digests of the token ids and of the text that decoding them gives back."""
     tokens = bpe.encoded(table(spark, d, "documents"), vocabulary())
@@ -162,6 +166,7 @@ QUERIES: dict[str, Query] = {
     "op5_warc": Query(op5_warc, OP5_SQL),
     "op6_mixing": Query(op6_mixing),
     "op7_quality_classifier": Query(op7_quality_classifier),
+    "op8_graph_search": Query(op8_graph_search),
     "op9_bpe": Query(op9_bpe),
     "op10_url_filters": Query(op10_url_filters, OP10_SQL),
 }
