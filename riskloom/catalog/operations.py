@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from riskloom import fixed_values as fv
 from riskloom.catalog import Query
+from riskloom.catalog import preparation
 from riskloom.catalog import relational as rel
 from riskloom.catalog import sql as q
 from riskloom.functions.numeric import rounded
+from riskloom.functions.times import clock
 from riskloom.operators.ordered import nearest_rank_percentiles
 from riskloom.operators.statistics import histogram
 from riskloom.plans import registry, telemetry
@@ -72,7 +74,8 @@ def latency_preview(spark, d):
 
 
 def latency_log_histogram(spark, d):
-    bins = histogram(log_latency(spark, d), "inference_latency_ms", 30)
+    """Latencies of zero stand for requests that were not timed; they stay out."""
+    bins = histogram(log_latency(spark, d).filter("inference_latency_ms != 0"), "inference_latency_ms", 30)
     return bins.withColumns({c: rounded(c, 6) for c in ("bin_start", "bin_end")})
 
 
@@ -83,6 +86,7 @@ def results(spark, d):
         F.col("event_id").alias("request_id"), F.col("ts").alias("timestamp"),
         F.when(failed, "error").otherwise("success").alias("status"), F.col("value").alias("latency_ms"),
         (F.col("value") * 10).alias(fv.PREDICTION_COL),
+        F.col("event_type").alias("car_make"), F.get_json_object("props", "$.k").alias("car_model"),
         F.when(F.col("event_type") == "signup", "new").otherwise("existing").alias("customer_type"),
         F.when(F.col("event_type") != "signup", F.concat(F.lit("C"), F.col("user_id").cast("string"))).alias("customer_id"),
         (F.col("value") / 4).alias("feature_store_ms"), (F.col("value") / 2).alias("model_inference_ms"),
@@ -137,10 +141,12 @@ def model_events(spark, d):
         F.when(F.col("event_type") == "purchase", "promote").when(F.col("event_type") == "error", "delete")
         .when(F.col("event_type") == "click", "metric").otherwise("register"))
     measured = F.col("event_type").isin("click", "signup", "view")
+    # Every fourth measurement is of another metric only; the gate's metric must outlive it.
+    name = F.when(F.col("event_id") % 4 == 0, F.lit("rmse")).otherwise(fv.GATE_METRIC)
     return events(spark, d).select(
         F.concat(F.lit("m"), (number % 5).cast("string")).alias("model"),
         F.concat(F.lit("v"), number.cast("string")).alias("version"), kind.alias("event"),
-        F.when(measured, F.create_map(F.lit(fv.GATE_METRIC), F.col("value") / 500)).alias("metrics"),
+        F.when(measured, F.create_map(name, F.col("value") / 500)).alias("metrics"),
         F.lit(None).cast("string").alias("artifact_path"), F.lit(None).cast("string").alias("comment"),
         F.col("ts").alias("event_ts"))
 
@@ -155,20 +161,22 @@ def current_default(spark, d):
 
 
 def quality_gate(spark, d):
+    """Every ninth candidate's score is not a number."""
+    score = F.when(F.col("p_partkey") % 9 == 0, F.lit(float("nan"))).otherwise(F.col("p_size") / 50)
     candidates = v.table(spark, d, "part").select(
         F.concat(F.lit("m"), (F.col("p_partkey") % 7).cast("string")).alias("model"),
-        F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("version"), (F.col("p_size") / 50).alias("score"))
-    return registry.gate_decisions(candidates, model_events(spark, d)).select("model", "version", "score", "decision")
+        F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("version"), score.alias("score"))
+    return registry.gate_decisions(candidates, model_events(spark, d)).select("model", "version", "decision")
 
 
 def expire_versions(spark, d):
-    return registry.expired_versions(model_events(spark, d), as_of=q.AS_OF)
+    return registry.expired_versions(model_events(spark, d), as_of=q.AS_OF).drop("artifact_path")
 
 
 MODEL_EVENTS_SQL = """
 SELECT 'm' || (event_id // 3) % 5 AS model, 'v' || (event_id // 3) AS version, ts AS event_ts, event_type AS kind,
   CASE event_type WHEN 'purchase' THEN 'promote' WHEN 'error' THEN 'delete' WHEN 'click' THEN 'metric' ELSE 'register' END AS event,
-  CASE WHEN event_type IN ('click', 'signup', 'view') THEN value / 500 END AS metric FROM events"""
+  CASE WHEN event_type IN ('click', 'signup', 'view') AND event_id % 4 <> 0 THEN value / 500 END AS metric FROM events"""
 STATE_SQL = """
 SELECT s.model, s.version, created_on, test_r2, coalesce(d.version = s.version, false) AS is_default
 FROM (SELECT model, version, min(event_ts) FILTER (event = 'register') AS created_on,
@@ -200,19 +208,36 @@ def incremental_interval(spark, d):
     return increment.interval(log, MARK, high, purchases_of(log))
 
 
-def increment_run(spark, d):
-    """Two runs over a log whose function is renamed to 'predict' for purchases; the second adds nothing."""
-    log = upper_log(spark, d).withColumn(
-        "function_name", F.when(F.col("function_name") == "PURCHASE", "Predict").otherwise(F.col("function_name")))
-    folder = new_folder(spark, "increment")
-    marks = increment.Watermarks(spark, f"{folder}/marks")
+def scored_log(spark, d, folder):
+    """Model inputs written as a serving log, the hour after ``AS_OF`` being the car's age; with the
+    function that turns log records into rounded result rows."""
+    inputs = preparation.frozen_inputs(spark, d)
+    encoder, scaler = preparation.fitted_preparation(inputs)
+    at = F.timestamp_add("HOUR", F.col("car_age"), clock(q.AS_OF))
+    log = serving_log.capture(
+        inputs.withColumn(fv.PREDICTION_COL, F.col("estimated_car_value")), query_id=F.col("policy_id"), at=at, function_name="Predict")
+    # Calls of other functions are in the log as well; they are not to be processed.
+    other = log.withColumn("function_name", F.lit("transform"))
+    serving_log.append_log(log.unionByName(other), f"{folder}/log")
 
     def rows(part):
-        return part.select(F.col("timestamp").alias("inference_timestamp"), "event_id", "function_name", "value")
+        done = increment.transformation_rows(part, encoder, scaler, at=q.AS_OF)
+        return done.withColumns({c: rounded(c, 6) for c in [*[f"{n}_transformed" for n in fv.NUMERIC_COLS], *fv.ENCODED_COLS]})
+
+    return rows
 
-    for _ in range(2):
-        increment.process_increment(log, marks, f"{folder}/results", rows)
-    return spark.read.parquet(f"{folder}/results").drop("after").withColumn(
+
+def increment_run(spark, d):
+    """The incremental job: log records in, 50 result columns out, the mark moved. The first run sees
+    only part of the log, the second the rest, the third nothing new."""
+    folder = new_folder(spark, "increment")
+    rows = scored_log(spark, d, folder)
+    log = serving_log.read_log(spark, f"{folder}/log")
+    marks = increment.Watermarks(spark, f"{folder}/marks")
+    early = F.timestamp_add("HOUR", F.lit(10), clock(q.AS_OF))
+    for part in (log.filter(F.col("timestamp") <= early), log, log):
+        increment.process_increment(part, marks, f"{folder}/results", rows)
+    return spark.read.parquet(f"{folder}/results").drop("mark", "after").withColumn(
         "last_processed", marks.read().select("last_processed").scalar())
 
 
@@ -222,20 +247,17 @@ def stream_path(d: str) -> str:
 
 
 def stream_increment(spark, d):
+    """The same job as a stream over the log's files."""
     folder = new_folder(spark, "stream")
-    query = increment.start_stream(
-        spark, stream_path(d), f"{folder}/results", f"{folder}/checkpoint",
-        lambda batch: batch.select("event_id", "ts", "user_id", "value"),
-        schema=events(spark, d).schema, condition=lambda log: F.lower("event_type") == "purchase")
-    query.awaitTermination()
+    rows = scored_log(spark, d, folder)
+    increment.start_stream(spark, f"{folder}/log", f"{folder}/results", f"{folder}/checkpoint", rows, files_per_batch=8).awaitTermination()
     return spark.read.parquet(f"{folder}/results").drop("batch_id")
 
 
 def stream_window(spark, d):
     folder = new_folder(spark, "windows")
     stream = live.file_stream(spark, stream_path(d), events(spark, d).schema)
-    stats = live.window_stats(
-        stream, ts="ts", succeeded=F.col("event_type") != "error", latency="value", window="1 hour", slide="30 minutes")
+    stats = live.window_stats(stream, ts="ts", succeeded=F.col("event_type") != "error", latency="value")
     live.write_stream(stats, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{folder}/out")
 
@@ -257,10 +279,18 @@ FROM events WHERE ts >= TIMESTAMP '{q.AS_OF}' - INTERVAL {LOG_SECONDS} SECOND"""
 
 RESULTS_SQL = """
 SELECT event_id AS request_id, ts AS timestamp, CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status,
-  value AS latency_ms, value * 10 AS predicted_premium, CASE WHEN event_type = 'signup' THEN 'new' ELSE 'existing' END AS customer_type,
+  value AS latency_ms, value * 10 AS predicted_premium, event_type || ' ' || json_extract_string(props, '$.k') AS car, CASE WHEN event_type = 'signup' THEN 'new' ELSE 'existing' END AS customer_type,
   CASE WHEN event_type <> 'signup' THEN 'C' || user_id END AS customer_id, value / 4 AS feature_store_ms, value / 2 AS model_inference_ms,
   CASE WHEN event_type = 'error' THEN 'upstream failed: ' || props END AS error FROM events"""
 
+SERVED_SQL = f"TIMESTAMP '{q.AS_OF}' + to_hours(car_age::INTEGER)"
+WHOLE_NUMBERS = ("avg_kilometers", "avg_deductible")
+RESULT_COLUMNS_SQL = ", ".join([
+    f"{SERVED_SQL} AS inference_timestamp", "policy_id AS query_id", "'pricing' AS service_name", "'Predict' AS function_name",
+    f"TIMESTAMP '{q.AS_OF}' AS transform_timestamp",
+    *[f"{c}{'::BIGINT' if c in WHOLE_NUMBERS else ''} AS {c}_input" for c in fv.MODEL_INPUT_COLS],
+    f"estimated_car_value AS {fv.PREDICTION_COL}",
+    *[f"{preparation.z(c)} AS {c}_transformed" for c in fv.NUMERIC_COLS], *[f"{preparation.z(c)} AS {c}" for c in fv.ENCODED_COLS]])
 WHOLE = "round(({})::DECIMAL(28,8), 0)::BIGINT::VARCHAR"
 
 QUERIES: dict[str, Query] = {
@@ -289,7 +319,7 @@ SELECT count(*) AS total_inferences, avg(inference_latency_ms) AS avg_latency_ms
   count(DISTINCT query_id) AS unique_queries, 'pricing' AS service_name FROM l"""),
     "latency_preview": Query(latency_preview, f"SELECT timestamp, query_id, inference_latency_ms FROM ({LATENCY_SQL}) ORDER BY timestamp DESC LIMIT 100"),
     "latency_log_histogram": Query(latency_log_histogram, f"""
-WITH l AS (SELECT inference_latency_ms::DOUBLE AS v FROM ({LATENCY_SQL}) WHERE inference_latency_ms IS NOT NULL),
+WITH l AS (SELECT inference_latency_ms::DOUBLE AS v FROM ({LATENCY_SQL}) WHERE inference_latency_ms <> 0),
 e AS (SELECT min(v) AS lo, max(v) AS hi FROM l),
 b AS (SELECT least(floor((v - lo) / (hi - lo) * 30), 29)::INTEGER AS bin, count(*) AS n, any_value(lo) AS lo, any_value(hi) AS hi FROM l, e GROUP BY 1)
 SELECT bin, {q.rounded('lo + bin * ((hi - lo) / 30)', 6)} AS bin_start, {q.rounded('lo + (bin + 1) * ((hi - lo) / 30)', 6)} AS bin_end, n FROM b"""),
@@ -301,7 +331,7 @@ SELECT customer_type, count(*) AS total, count(*) FILTER (status = 'success') AS
     "failure_causes": Query(failure_causes, q.with_(
         "SELECT substring(error, 1, 80) AS error, count(*) AS n FROM r WHERE status = 'error' GROUP BY 1", r=RESULTS_SQL)),
     "recent_display": Query(recent_display, q.with_(f"""
-SELECT request_id, strftime(timestamp, '%H:%M:%S') AS "time", coalesce(customer_id, 'New') AS customer, customer_type AS type,
+SELECT request_id, strftime(timestamp, '%H:%M:%S') AS "time", coalesce(customer_id, 'New') AS customer, customer_type AS type, car,
   '$' || format('{{:,.2f}}', {q.rounded('predicted_premium', 2)}) AS premium, {WHOLE.format('latency_ms')} AS total_ms,
   {WHOLE.format('feature_store_ms')} AS feature_ms, {WHOLE.format('model_inference_ms')} AS model_ms
 FROM r WHERE status = 'success' ORDER BY timestamp DESC LIMIT 10""", r=RESULTS_SQL)),
@@ -319,9 +349,9 @@ SELECT ts AS alert_time, 'MODEL_QUALITY' AS alert_type, 'event ' || event_id AS
     "registry_state": Query(registry_state, q.with_("SELECT * FROM state", **STATE)),
     "current_default": Query(current_default, q.with_("SELECT * FROM dflt", **STATE)),
     "quality_gate": Query(quality_gate, q.with_("""
-SELECT c.model, c.version, c.score, CASE WHEN p.version IS NULL OR (c.score >= 0.7e0 AND c.score >= coalesce(p.test_r2, 0))
+SELECT c.model, c.version, CASE WHEN p.version IS NULL OR (c.score >= 0.7e0 AND c.score >= coalesce(p.test_r2, 0))
   THEN 'promote_model' ELSE 'send_alert' END AS decision
-FROM (SELECT 'm' || p_partkey % 7 AS model, 'c' || p_partkey AS version, p_size / 50 AS score FROM part) c
+FROM (SELECT 'm' || p_partkey % 7 AS model, 'c' || p_partkey AS version, CASE WHEN p_partkey % 9 = 0 THEN 0 ELSE p_size / 50 END AS score FROM part) c
 LEFT JOIN (SELECT * FROM state WHERE is_default) p ON p.model = c.model""", **STATE)),
     "expire_versions": Query(expire_versions, q.with_(f"""
 SELECT model, version, created_on FROM state WHERE NOT is_default AND created_on < TIMESTAMP '{q.AS_OF}' - INTERVAL 7 DAY
@@ -330,15 +360,14 @@ SELECT model, version, created_on FROM state WHERE NOT is_default AND created_on
     "incremental_interval": Query(incremental_interval, f"""
 SELECT ts AS timestamp, upper(event_type) AS function_name, event_id, user_id, value FROM events
 WHERE ts > TIMESTAMP '{MARK}' AND ts <= (SELECT max(ts) FROM events WHERE event_type = 'purchase') AND event_type = 'purchase'"""),
-    "increment_run": Query(increment_run, """
-SELECT ts AS inference_timestamp, event_id, 'Predict' AS function_name, value, max(ts) OVER () AS last_processed
-FROM events WHERE event_type = 'purchase'"""),
-    "stream_increment": Query(stream_increment, "SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase'"),
+    "increment_run": Query(increment_run, preparation.prepared_sql(
+        f"SELECT {RESULT_COLUMNS_SQL}, max({SERVED_SQL}) OVER () AS last_processed FROM enc, stats")),
+    "stream_increment": Query(stream_increment, preparation.prepared_sql(f"SELECT {RESULT_COLUMNS_SQL} FROM enc, stats")),
     "stream_window": Query(stream_window, """
-SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS total, count(*) FILTER (ok) AS successful,
+SELECT window_start, window_start + INTERVAL 30 SECOND AS window_end, count(*) AS total, count(*) FILTER (ok) AS successful,
   (count(*) FILTER (ok) * 100) / count(*) AS success_rate,
   sum(value::DECIMAL(28,6)) FILTER (ok)::DOUBLE / nullif(count(*) FILTER (ok), 0) AS avg_latency, max(value) FILTER (ok) AS max_latency
-FROM (SELECT *, event_type <> 'error' AS ok, time_bucket(INTERVAL 30 MINUTE, ts) - to_minutes(30 * s) AS window_start FROM events, range(2) r(s))
+FROM (SELECT *, event_type <> 'error' AS ok, date_trunc('second', ts) - to_seconds(s) AS window_start FROM events, range(30) r(s))
 GROUP BY window_start HAVING window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 MINUTE FROM events)"""),
     "stream_latest": Query(stream_latest, """
 SELECT event_id, ts, user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""),

@@ -140,7 +140,7 @@ GROUP BY window_start"""),
     "rolling_throughput": Query(rolling_throughput, f"""
 WITH p AS (SELECT event_id, event_type, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i,
   count(*) OVER (PARTITION BY event_type) AS n FROM events),
-w AS (SELECT *, least(20, n // 4) AS w FROM p)
+w AS (SELECT *, least(20, n // 4) AS w FROM p WHERE n > 10)
 SELECT a.event_id, a.event_type, a.w AS window_rows,
   {q.rounded("a.w / ((epoch_us(a.ts) - epoch_us(b.ts)) / 1000000e0)", 6)} AS throughput
 FROM w a JOIN w b ON a.event_type = b.event_type AND a.i - a.w = b.i WHERE a.w > 0 AND a.ts > b.ts"""),

@@ -62,8 +62,7 @@ def transform_object(spark, d):
     inputs = frozen_inputs(spark, d)
     encoder, scaler = fitted_preparation(inputs)
     t = prep.transform_struct(inputs, encoder, scaler)
-    return t.select("policy_id", rounded(F.col("t")["car_age"], 6).alias("car_age_transformed"),
-                    rounded(F.col("t")["car_make_encoded"], 6).alias("car_make_encoded"))
+    return t.select("policy_id", *[rounded(F.col("t")[c], 6).alias(f"{c}_t") for c in fv.MODEL_FEATURE_COLS])
 
 
 def prepared_sql(select: str) -> str:
@@ -154,7 +153,7 @@ SELECT l_orderkey, l_linenumber, {', '.join(f'{z(c)} AS {c}' for c in LINE_NUMBE
     "model_transform": Query(model_transform, prepared_sql(
         f"SELECT policy_id, {', '.join(f'{z(c)} AS {c}' for c in fv.MODEL_FEATURE_COLS)} FROM enc, stats")),
     "transform_object": Query(transform_object, prepared_sql(
-        f"SELECT policy_id, {z('car_age')} AS car_age_transformed, {z('car_make_encoded')} AS car_make_encoded FROM enc, stats")),
+        f"SELECT policy_id, {', '.join(f'{z(c)} AS {c}_t' for c in fv.MODEL_FEATURE_COLS)} FROM enc, stats")),
     "regression_metrics": Query(regression_metrics, q.with_(f"""
 SELECT split, count(*) AS n, {q.rounded('sqrt(avg(e * e))', 2)} AS rmse, {q.rounded('avg(abs(e))', 2)} AS mae,
   {q.rounded('1 - sum(e * e) / (count(*) * var_pop(annual_premium))', 4)} AS r2

@@ -248,7 +248,9 @@ def folder_scan(spark, d):
 
 
 def eligibility_bound(spark, d):
-    return v.customers(spark, d).select(
+    """The forties stand for customers of unknown age."""
+    people = v.customers(spark, d).withColumn("age", F.when(~F.col("age").between(40, 49), F.col("age")))
+    return people.select(
         "customer_id", rating.eligible_years("age").alias("most_years"), rating.eligible("age", "years_licensed").alias("is_eligible"))
 
 
@@ -346,7 +348,8 @@ SELECT l_returnflag, count(*) AS n, sum(l_quantity::DECIMAL(18,2))::DOUBLE AS qu
 WHERE l_shipdate >= TIMESTAMP '1997-01-01' GROUP BY 1"""),
     "folder_scan": Query(folder_scan, "SELECT o_orderkey, o_totalprice FROM orders"),
     "eligibility_bound": Query(eligibility_bound, q.with_("""
-SELECT customer_id, least(age - 16, 60) AS most_years, years_licensed BETWEEN 1 AND least(age - 16, 60) AS is_eligible FROM customers""",
+SELECT customer_id, most_years, years_licensed >= 1 AND years_licensed <= most_years AS is_eligible
+FROM (SELECT *, CASE WHEN age NOT BETWEEN 40 AND 49 THEN least(age - 16, 60) END AS most_years FROM customers)""",
         customers=q.CUSTOMERS)),
     "customer_labels": Query(customer_labels, q.with_("""
 SELECT label, split_part(label, ' - ', 1) AS label_key FROM (

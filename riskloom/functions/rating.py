@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from riskloom import fixed_values as fv
-from riskloom.functions.numeric import as_col, at_least, clamp, lookup, rounded
+from riskloom.functions.numeric import as_col, at_least, at_most, clamp, lookup, rounded
 
 
 def age_points(age: Column | str, young, senior, other) -> Column:
@@ -77,8 +77,8 @@ def monthly_instalment(annual: Column | str) -> Column:
 
 
 def eligible_years(age: Column | str) -> Column:
-    """Most years a driver of this age can have been licensed."""
-    return F.least(as_col(age) - 16, F.lit(60))
+    """Most years a driver of this age can have been licensed; unknown for an unknown age."""
+    return at_most(60, as_col(age) - 16)
 
 
 def eligible(age: Column | str, years_licensed: Column | str) -> Column:

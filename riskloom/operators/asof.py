@@ -3,7 +3,7 @@
 Rows are grouped by (key, time cell), so a key that owns a third of all rows is spread over the
 cells it is active in. Inside a cell a running ``last`` finds the newest right row; what a cell
 inherits comes from a table of one summary row per (key, cell), carried forward over the cells.
-The large sides shuffle once; nothing is multiplied and no pairs are formed.
+Both are read off one shuffle of the two sides together; nothing is multiplied, no pairs are formed.
 """
 
 from __future__ import annotations
@@ -40,8 +40,6 @@ def asof_join(
         F.struct(F.lit(0).alias("_"), *tiebreak).alias("_tie"),
         F.struct(*payload).alias("_fact"),
     )
-    for k in keys:
-        facts = facts.filter(F.col(k).isNotNull())
     spine = left.select(
         *[F.col(c).alias(k) for c, k in zip(on, keys)],
         time_cell(left_ts, cell_seconds).alias("_cell"),
@@ -49,31 +47,36 @@ def asof_join(
         F.lit(1).alias("_side"),
         F.struct(*left.columns).alias("_row"),
     )
+    # Rows without a key or time match nothing; they take no part in the shuffle and come back as they are.
+    whole = F.lit(True)
+    for c in [*keys, "_ts"]:
+        whole = whole & F.col(c).isNotNull()
+    no_fact = F.lit(None).cast(facts.schema["_fact"].dataType).alias("_found")
+    unmatched = spine.filter(~whole).select("_row", no_fact)
+    both = spine.unionByName(facts, allowMissingColumns=True).filter(whole).repartition(*group)
 
     in_cell = (
         W.partitionBy(*group).orderBy("_ts", "_side", "_tie").rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     filled = (
-        spine.unionByName(facts, allowMissingColumns=True)
-        .withColumn("_here", F.last("_fact", ignorenulls=True).over(in_cell))
+        both.withColumn("_here", F.last("_fact", ignorenulls=True).over(in_cell))
         .filter(F.col("_side") == 1)
         .select(*group, "_row", "_here")
     )
+    matched = filled.join(carry_forward(both, keys), group, "left").select("_row", F.coalesce("_here", "_before").alias("_found"))
+    return matched.unionByName(unmatched).select("_row.*", "_found.*")
 
-    carried = carry_forward(spine, facts, keys)
-    matched = filled.join(carried, group, "left").select("_row", F.coalesce("_here", "_before").alias("_found"))
-    return matched.select("_row.*", "_found.*")
 
+def carry_forward(both: DataFrame, keys: list[str]) -> DataFrame:
+    """For each (key, cell) that holds spine rows: the newest fact of the key from any earlier cell.
 
-def carry_forward(spine: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
-    """For each (key, cell) that holds spine rows: the newest fact of the key from any earlier cell."""
-    newest = facts.groupBy(*keys, "_cell").agg(
-        F.max_by("_fact", F.struct("_ts", "_tie")).alias("_newest"), F.lit(False).alias("_asked"))
-    asked = spine.select(*keys, "_cell").filter(F.col("_cell").isNotNull()).distinct().withColumn("_asked", F.lit(True))
+    It reads the same columns of ``both`` as the join's window does, so that the two share a shuffle."""
+    cells = both.groupBy(*keys, "_cell").agg(
+        F.max_by("_fact", F.when(F.col("_side") == 0, F.struct("_ts", "_tie"))).alias("_newest"),
+        (F.count("_row") > 0).alias("_asked"))
     earlier = W.partitionBy(*keys).orderBy("_cell").rangeBetween(W.unboundedPreceding, -1)
     return (
-        newest.unionByName(asked, allowMissingColumns=True)
-        .withColumn("_before", F.last("_newest", ignorenulls=True).over(earlier))
+        cells.withColumn("_before", F.last("_newest", ignorenulls=True).over(earlier))
         .filter("_asked")
         .select(*keys, "_cell", "_before")
     )

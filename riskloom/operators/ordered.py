@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.times import epoch_micros, time_cell
 
-VALUE_CELLS = 4096
-LOW_END_DETAIL = 10_000.0
+CELLS_PER_DOUBLING = 1024
 
 
 def group_key(by: list[str]) -> Column:
@@ -44,11 +43,22 @@ def with_position(df: DataFrame, by: list[str], order: list, cell: Column) -> Da
     )
 
 
-def dense_codes(values: DataFrame, by: list[str], value: str, prefix_chars: int = 2) -> DataFrame:
-    """0-based code of each (distinct) text value in sorted order within ``by``. Values that share
-    their first ``prefix_chars`` characters are sorted by one task: raise it for very many values
-    with a common beginning."""
-    return with_position(values, by, [value], F.substring(value, 1, prefix_chars)).select(
+BOUNDS, SAMPLED, BOUND_CHARS = 63, 1024, 64
+
+
+def dense_codes(values: DataFrame, by: list[str], value: str) -> DataFrame:
+    """0-based code of each (distinct) text value in sorted order within ``by``.
+
+    The values are cut at bounds taken from a sample (by hash, so reruns agree) of `SAMPLED` of
+    them, of which at most `BOUND_CHARS` characters each are needed; the pieces are sorted apart, so
+    a column of very many values, alike in their beginnings or not, is not one task.
+    """
+    drawn = values.select(F.substring(value, 1, BOUND_CHARS).alias("b"), F.xxhash64(value).alias("h")).orderBy("h", "b").limit(SAMPLED)
+    bounds = sorted({r["b"].encode() for r in drawn.collect() if r["b"]})
+    step = max(1, len(bounds) // (BOUNDS + 1))
+    chosen = [b.decode() for b in bounds[step::step]][:BOUNDS]
+    cell = F.size(F.filter(F.array(*map(F.lit, chosen)), lambda b: b <= F.col(value))) if chosen else F.lit(0)
+    return with_position(values, by, [value], cell).select(
         *by, value, F.col("position").cast("int").alias("code"))
 
 
@@ -56,19 +66,19 @@ def values_at(df: DataFrame, by: list[str], value: str, positions: dict[str, Col
     """Exact order statistics: per group, the sorted value at each 0-based position.
 
     ``positions`` maps an output name to a position expressed over the column ``n`` (non-missing
-    rows of the group). NULL and NaN values are left out. Output: ``by`` columns, ``n`` and one
-    column per name; groups without any value do not appear.
+    rows of the group). NULL and NaN values are left out; values keep their type. Output: ``by``
+    columns, ``n`` and one column per name; groups without any value do not appear.
 
-    Equal values merge before they travel; then only the cells that hold a wanted position are sorted.
+    Equal values merge before they travel; then only the cells that hold a wanted position are
+    sorted. The cell of a value depends on the value alone, so the data is read once and an outlier
+    changes no other value's cell.
     """
-    measured = df.select(*by, F.col(value).cast("double").alias("_value"))
     counts = (
-        measured.filter(F.col("_value").isNotNull() & ~F.isnan("_value"))
+        df.select(*by, F.col(value).alias("_value"))
+        .filter(F.col("_value").isNotNull() & ~F.isnan(F.col("_value").cast("double")))
         .groupBy(group_key(by).alias("_group"), "_value").agg(F.count("*").alias("_rows"))
     )
-    finite = F.when(F.abs("_value") != float("inf"), F.col("_value"))
-    ends = counts.groupBy("_group").agg(F.min(finite).alias("_lo"), F.max(finite).alias("_hi"))
-    placed = counts.join(ends, "_group").select("_group", "_value", "_rows", _value_cell().alias("_cell"))
+    placed = counts.select("_group", "_value", "_rows", value_cell(F.col("_value")).alias("_cell"))
 
     cells = placed.groupBy("_group", "_cell").agg(F.sum("_rows").alias("_rows"))
     running = W.partitionBy("_group").orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -95,17 +105,13 @@ def values_at(df: DataFrame, by: list[str], value: str, positions: dict[str, Col
     return found.select(*[F.col("_group")[c].alias(c) for c in by], "n", *positions)
 
 
-def _value_cell() -> Column:
-    """Cell of ``_value`` between the group's ends: logarithmic, finer at the low end, where the
-    bulk of long-tailed measures lies. It only has to grow with the value; it never decides a result."""
-    share = (F.col("_value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-    scaled = F.log1p(share * LOW_END_DETAIL) / F.log1p(F.lit(LOW_END_DETAIL))
-    return (
-        F.when(F.col("_value") == float("-inf"), F.lit(-1))
-        .when(F.col("_value") == float("inf"), F.lit(VALUE_CELLS + 1))
-        .when(F.col("_hi") > F.col("_lo"), F.floor(scaled * VALUE_CELLS).cast("int"))
-        .otherwise(F.lit(0))
-    )
+def value_cell(value: Column) -> Column:
+    """A whole number that grows with the value: `CELLS_PER_DOUBLING` cells between a value and its
+    double, on either side of zero. There are at most a few million cells, however much data there is."""
+    v = value.cast("double")
+    size = F.when(F.abs(v) == float("inf"), F.lit(1025.0)).otherwise(F.log2(F.abs(v)))
+    from_zero = F.floor(size * CELLS_PER_DOUBLING).cast("int") + 1100 * CELLS_PER_DOUBLING
+    return F.when(v == 0, F.lit(0)).when(v > 0, from_zero).otherwise(-from_zero)
 
 
 def nearest_rank(percent: float) -> Column:
@@ -140,31 +146,24 @@ def interpolated_quantiles(df: DataFrame, by: list[str], value: str, quantiles:
 
 def rolling_throughput(
     df: DataFrame, series: list[str], ts: str, tiebreak: tuple[str, ...] = (), *,
-    widest: int = 20, share: int = 4, cell_seconds: int = 3600, chunk_rows: int = 100_000,
+    widest: int = 20, share: int = 4, cell_seconds: int = 3600, min_rows: int = 11,
 ) -> DataFrame:
     """Events per second over the last ``w`` events at each event: w / (ts[i] - ts[i - w]).
 
     ``w`` is ``widest``, or a ``share``-th of the series if that is less. Rows without ``w``
-    predecessors, or with no time between, are left out. Chunks of consecutive positions are
-    processed independently; each also gets the ``widest`` rows before it.
+    predecessors, or with no time between, are left out, and so are series of under ``min_rows``
+    rows. Each row meets its ``w``-th predecessor by its position: an equi-join on (series,
+    position), in which every row has one partner and no series is gathered.
     """
-    placed = with_position(df.filter(F.col(ts).isNotNull()), series, [ts, *tiebreak], time_cell(ts, cell_seconds))
+    timed = df.filter(F.col(ts).isNotNull())
+    placed = with_position(timed, series, [ts, *tiebreak], time_cell(ts, cell_seconds))
     window = F.least(F.lit(widest), F.floor(F.col("group_rows") / share)).cast("bigint")
-    chunk = F.floor(F.col("position") / chunk_rows)
-    feeds_next = F.col("position") >= (chunk + 1) * chunk_rows - widest
-    copies = F.when(feeds_next, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
-    spread = (
-        placed.withColumn("window_rows", window).withColumn("_group", group_key(series))
-        .withColumn("_home", chunk).withColumn("_chunk", F.explode(copies))
-    )
-    recent = W.partitionBy("_group", "_chunk").orderBy("position").rowsBetween(-widest, W.currentRow)
-    times = F.collect_list(ts).over(recent)
-    start = F.try_element_at(F.col("_times"), -(F.col("window_rows").cast("int") + 1))
+    placed = placed.filter(F.col("group_rows") >= min_rows).withColumn("window_rows", window).filter("window_rows > 0")
+    placed = placed.withColumn("_group", group_key(series))
+    before = placed.select("_group", (F.col("position") + F.col("window_rows")).alias("position"), F.col(ts).alias("_from"))
     seconds = (epoch_micros(ts) - epoch_micros("_from")) / F.lit(1_000_000)
     return (
-        spread.withColumn("_times", times)
-        .filter((F.col("_home") == F.col("_chunk")) & (F.col("window_rows") > 0))
-        .withColumn("_from", start)
+        placed.join(before, ["_group", "position"])
         .withColumn("window_seconds", seconds)
         .filter(F.col("window_seconds") > 0)
         .withColumn("throughput", F.col("window_rows") / F.col("window_seconds"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -11,33 +10,20 @@ from pyspark.sql import functions as F
 from riskloom import fixed_values as fv
 from riskloom.functions.draws import in_test_split
 from riskloom.operators.ordered import dense_codes
-from riskloom.sources.scratch import settled
-
-
-FEW_CLASSES = 64
+from riskloom.sources.scratch import written
 
 
 @dataclass(frozen=True)
 class Encoder:
-    """Codes of text classes: a table (column, value, code).
-
-    ``codes`` holds the columns with few classes as constants; ``small`` says that the table of
-    the others may be broadcast.
-    """
+    """Codes of text classes: a table (column, value, code)."""
 
     columns: tuple[str, ...]
     classes: DataFrame
-    small: bool
-    codes: dict[str, dict[str, int]]
 
     @staticmethod
     def of(columns: list[str], classes: DataFrame) -> Encoder:
-        table, rows = settled(classes)
-        by_column: dict[str, dict[str, int]] = {c: {} for c in columns}
-        for r in rows or []:
-            by_column[r["column"]][r["value"]] = r["code"]
-        few = {c: codes for c, codes in by_column.items() if rows is not None and len(codes) <= FEW_CLASSES}
-        return Encoder(tuple(columns), table, rows is not None, few)
+        """Keeps the classes in the shared folder, so that every use reads the same finished table."""
+        return Encoder(tuple(columns), written(classes, "classes"))
 
 
 @dataclass(frozen=True)
@@ -70,21 +56,17 @@ def encode(df: DataFrame, encoder: Encoder, flag_unknown: bool = False) -> DataF
     """Adds ``<col>_encoded`` for the encoder's columns that ``df`` has. Unknown values get 0;
     ``flag_unknown`` adds ``<col>_unknown`` to tell them from the first class.
 
-    Few classes are looked up in a constant map. More of them are joined: by broadcast while the
-    class table is small, by shuffle beyond.
+    Classes are joined per column, without a hint: whether a class table is broadcast is decided by
+    its size on disk.
     """
     columns = available(df, list(encoder.columns))
     joined, code = df, {}
     for c in columns:
-        if c in encoder.codes:
-            table = F.from_json(F.lit(json.dumps(encoder.codes[c])), "map<string,int>")
-            code[c] = F.try_element_at(table, class_text(c))
-        else:
-            text, number = f"_{c}_text", f"_{c}_code"
-            classes = encoder.classes.filter(F.col("column") == c).select(
-                F.col("value").alias(text), F.col("code").alias(number))
-            joined = joined.join(F.broadcast(classes) if encoder.small else classes, class_text(c) == F.col(text), "left")
-            code[c] = F.col(number)
+        text, number = f"_{c}_text", f"_{c}_code"
+        classes = encoder.classes.filter(F.col("column") == c).select(
+            F.col("value").alias(text), F.col("code").alias(number))
+        joined = joined.join(classes, class_text(c) == F.col(text), "left")
+        code[c] = F.col(number)
     unknown = [code[c].isNull().alias(f"{c}_unknown") for c in columns] if flag_unknown else []
     return joined.select(*df.columns, *[F.coalesce(code[c], F.lit(0)).alias(f"{c}_encoded") for c in columns], *unknown)
 

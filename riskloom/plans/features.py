@@ -12,7 +12,7 @@ from riskloom.functions import rating
 from riskloom.functions.numeric import exact_sum, rounded
 from riskloom.functions.times import clock
 from riskloom.operators.asof import asof_join
-from riskloom.operators.latest import latest_per_key
+from riskloom.operators.latest import latest_per_key, retrieve_latest
 from riskloom.sources.tables import overwrite
 
 HISTORY_COLS = [
@@ -83,6 +83,13 @@ def enriched_spine(spine: DataFrame, features: DataFrame, **asof_options) -> Dat
         on=["customer_id"], left_ts="ts", right_ts="feature_ts", **asof_options)
 
 
+def labelled_spine(spine: DataFrame, features: DataFrame) -> DataFrame:
+    """Spine rows with the customer's newest feature row, whatever its time: what is known today, not
+    what was known then. For point-in-time training sets keep a feature history and use ``enriched_spine``."""
+    newest = features.withColumnRenamed("updated_at", "feature_ts")
+    return retrieve_latest(spine, newest, on="customer_id", feature_ts="feature_ts")
+
+
 def changed_keys(policies: DataFrame, customers_changed: DataFrame | None, *, since: datetime | str | Column) -> DataFrame:
     """Customers whose policies (or own rows) changed after the last refresh."""
     keys = policies.filter(F.col("updated_at") > clock(since)).select("customer_id")

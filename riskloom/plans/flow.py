@@ -7,10 +7,9 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskloom import fixed_values as fv
-from riskloom.plans.features import customer_risk_features, enriched_spine, inference_input, training_spine
+from riskloom.plans.features import customer_risk_features, inference_input, labelled_spine, training_spine
 from riskloom.plans.registry import Registry, send_alert, version_name
 from riskloom.plans.scoring import fit_model, load_model, score_batch
 from riskloom.schemas import RUNS
@@ -64,7 +63,7 @@ class Layout:
 
 def run_flow(
     spark: SparkSession, root: str, customers: DataFrame, policies: DataFrame, *, year: int,
-    as_of: datetime, rounds: int = fv.BOOSTING["rounds"], depth: int = fv.BOOSTING["depth"],
+    as_of: datetime, rounds: int | None = None, depth: int | None = None,
     threshold: float = fv.GATE_THRESHOLD, expiry_days: int = fv.EXPIRY_DAYS,
 ) -> dict:
     """Run every step once and return what each of them reported."""
@@ -78,14 +77,13 @@ def run_flow(
         report["policies"] = tables.overwrite(policies, at.policies)
         customers, policies = spark.read.parquet(at.customers), spark.read.parquet(at.policies)
 
-        # Features as known before the policies' own times, so that the point-in-time join finds them.
-        earliest = policies.agg(F.min(F.col("updated_at").try_cast("timestamp_ntz"))).first()[0]
-        features = customer_risk_features(customers, policies, year=year, as_of=earliest)
+        features = customer_risk_features(customers, policies, year=year, as_of=as_of)
         tables.overwrite(features, at.features)
         features = spark.read.parquet(at.features)
 
         version = spark.range(1).select(version_name(as_of)).first()[0]
-        training = enriched_spine(training_spine(policies, customers, year=year, keep=("policy_id",)), features)
+        # One refresh holds all policies at once: the newest features are joined, openly without a point in time.
+        training = labelled_spine(training_spine(policies, customers, year=year, keep=("policy_id",)), features)
         report["dataset"] = tables.write_dataset(training, at.datasets, "premium_training", version)
 
         training = tables.read_dataset(spark, at.datasets, "premium_training", version)

@@ -24,17 +24,26 @@ def version_name(at: datetime | str | Column | None = None) -> Column:
 
 # --- state as queries over the events -------------------------------------------------------------
 
+def newest_metrics(events: DataFrame) -> DataFrame:
+    """(model, version, metrics): of every metric the newest value. Metrics may be set one by one;
+    those of the registration are older than others of the same time."""
+    at = F.struct("event_ts", F.when(F.col("event") == "register", 0).otherwise(1).alias("_order"))
+    each = events.select("model", "version", at.alias("_at"), F.explode("metrics").alias("_name", "_value"))
+    newest = each.groupBy("model", "version", "_name").agg(F.max_by("_value", "_at").alias("_value"))
+    return newest.groupBy("model", "version").agg(F.map_from_entries(F.collect_list(F.struct("_name", "_value"))).alias("metrics"))
+
+
 def version_state(events: DataFrame) -> DataFrame:
-    """One row per live version: created_on, newest metrics, artifact path, comment, is_default."""
+    """One row per live version: created_on, newest value of every metric, artifact path, comment, is_default."""
     kind = F.col("event")
-    measured = F.struct("event_ts", F.when(kind == "register", 0).otherwise(1).alias("_order"))
     versions = events.groupBy("model", "version").agg(
         F.min(F.when(kind == "register", F.col("event_ts"))).alias("created_on"),
-        F.max_by("metrics", F.when(F.col("metrics").isNotNull(), measured)).alias("metrics"),
         F.max_by("artifact_path", F.when(F.col("artifact_path").isNotNull(), F.col("event_ts"))).alias("artifact_path"),
         F.max_by("comment", F.when(F.col("comment").isNotNull(), F.col("event_ts"))).alias("comment"),
         F.bool_or(kind == "delete").alias("_deleted"))
     live = versions.filter(F.col("created_on").isNotNull() & ~F.col("_deleted")).drop("_deleted")
+    live = live.join(newest_metrics(events), ["model", "version"], "left").select(
+        "model", "version", "created_on", "metrics", "artifact_path", "comment")
     defaults = current_default(events).select("model", F.col("version").alias("_default"))
     return live.join(defaults, "model", "left").withColumn(
         "is_default", F.coalesce(F.col("version") == F.col("_default"), F.lit(False))).drop("_default")
@@ -51,11 +60,13 @@ def gate_decisions(
     candidates: DataFrame, events: DataFrame, *, metric: str = fv.GATE_METRIC, threshold: float = fv.GATE_THRESHOLD,
 ) -> DataFrame:
     """``decision`` per candidate (model, version, score): promote when there is no production
-    version, or when the score reaches both the threshold and production's score (0 if unknown)."""
+    version, or when the score reaches both the threshold and production's score. A score that is
+    unknown or not a number counts as 0 on either side."""
+    known = lambda c: F.coalesce(F.nanvl(c, F.lit(None).cast("double")), F.lit(0.0))
     production = version_state(events).filter("is_default").select(
         "model", F.col("version").alias("production_version"),
-        F.coalesce(F.try_element_at("metrics", F.lit(metric)), F.lit(0.0)).alias("production_score"))
-    score = F.coalesce("score", F.lit(0.0))
+        known(F.try_element_at("metrics", F.lit(metric)).cast("double")).alias("production_score"))
+    score = known(F.col("score").cast("double"))
     good = (score >= threshold) & (score >= F.col("production_score"))
     return candidates.join(production, "model", "left").withColumn(
         "decision",
@@ -69,7 +80,7 @@ def expired_versions(events: DataFrame, *, as_of=None, days: int = fv.EXPIRY_DAY
     with_default = current_default(events).select("model")
     return (
         version_state(events).filter((F.col("created_on") < cutoff) & ~F.col("is_default"))
-        .join(with_default, "model", "left_semi").select("model", "version", "created_on"))
+        .join(with_default, "model", "left_semi").select("model", "version", "created_on", "artifact_path"))
 
 
 # --- the table ------------------------------------------------------------------------------------
@@ -98,7 +109,7 @@ class Registry:
         self.record(model, version, "register", metrics=metrics, artifact_path=artifact_path, comment=comment, at=at)
 
     def set_metrics(self, model: str, version: str, metrics: dict[str, float], at=None) -> None:
-        """Replaces the metrics of a version (merge them before, to keep old ones)."""
+        """Sets these metrics of a version; its others stay."""
         self.record(model, version, "metric", metrics=metrics, at=at)
 
     def promote(self, model: str, version: str, at=None) -> None:
@@ -123,10 +134,18 @@ class Registry:
         return gate_decisions(candidate, self.events(), metric=metric, threshold=threshold).first()["decision"]
 
     def expire(self, *, as_of=None, days: int = fv.EXPIRY_DAYS) -> int:
-        """Append delete events for the expired versions; returns how many."""
-        gone = expired_versions(self.events(), as_of=as_of, days=days).select(
-            "model", "version", F.lit("delete").alias("event"), clock(as_of).alias("event_ts"))
-        return tables.append(gone, self.path, MODEL_EVENTS)
+        """Append delete events for the expired versions, then remove their artifacts; returns how many.
+
+        The events come first: if the job dies in between, a folder is left over, but no version
+        points to nothing. Versions are few; their paths are what the driver sees."""
+        rows = expired_versions(self.events(), as_of=as_of, days=days).collect()
+        count = tables.append(self.spark.createDataFrame(
+            [(r["model"], r["version"]) for r in rows], "model string, version string").select(
+            "model", "version", F.lit("delete").alias("event"), clock(as_of).alias("event_ts")), self.path, MODEL_EVENTS)
+        for r in rows:
+            if r["artifact_path"]:
+                tables.remove(self.spark, r["artifact_path"])
+        return count
 
 
 def alert_message(version: str, metrics: dict[str, float]) -> str:

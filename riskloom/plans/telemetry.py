@@ -62,6 +62,7 @@ def recent_predictions(results: DataFrame, n: int = 10) -> DataFrame:
         format_time("timestamp", fv.TIME_FORMAT).alias("time"),
         text_or("customer_id", fv.NEW_CUSTOMER_TEXT).alias("customer"),
         F.coalesce("customer_type", F.lit("")).alias("type"),
+        F.concat_ws(" ", "car_make", "car_model").alias("car"),
         money_text(fv.PREDICTION_COL).alias("premium"),
         whole_text("latency_ms").alias("total_ms"),
         whole_text(F.coalesce("feature_store_ms", F.lit(0.0))).alias("feature_ms"),

@@ -6,9 +6,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, Row, SparkSession
-
-SMALL_ROWS = 100_000
+from pyspark.sql import DataFrame, SparkSession
 
 
 @lru_cache(maxsize=None)
@@ -40,14 +38,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def settled(df: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, list[Row] | None]:
-    """Compute a fitted table once: ``(table, rows)``.
-
-    At most ``limit`` rows become a local table that is safe to broadcast, and are returned as
-    well. A larger table is checkpointed, comes without rows, and must be joined by shuffling; no
-    more than ``limit + 1`` rows ever reach the driver.
-    """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) <= limit:
-        return df.sparkSession.createDataFrame(rows, df.schema), rows
-    return checkpointed(df), None
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The same rows, written once to the shared folder; every use reads the finished table."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

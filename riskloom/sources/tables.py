@@ -38,6 +38,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder and all in it; False where there was none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 # --- writing ------------------------------------------------------------------------------------
 
 def ensure_table(spark: SparkSession, path: str, schema: StructType) -> None:
@@ -104,6 +110,8 @@ def keyed_update(target: DataFrame, updates: DataFrame, keys: list[str]) -> Data
 
 # --- small mutable state ------------------------------------------------------------------------
 
+#: Changes after which a state table folds its commits and drops old snapshots.
+COMPACT_EVERY = 20
 COMMITS = StructType([StructField("snapshot", LongType()), StructField("written_at", TimestampNTZType())])
 
 
@@ -130,8 +138,21 @@ class StateTable:
         number = (self.current() or 0) + 1
         df.select(*self.schema.names).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/snapshot={number}")
         insert_row(self.spark, f"{self.path}/commits", COMMITS, snapshot=number, written_at=clock(at))
+        if number % COMPACT_EVERY == 0:
+            self.compact(number)
         return number
 
+    def compact(self, number: int) -> None:
+        """Fold the commit files into one that names snapshot ``number``, and drop the snapshots before the
+        last one (a reader may still hold that). Readers take the greatest number they find, so at no moment
+        is there less than the current state."""
+        old = self.spark.read.parquet(f"{self.path}/commits").inputFiles()
+        insert_row(self.spark, f"{self.path}/commits", COMMITS, snapshot=number, written_at=clock(None))
+        for file in old:
+            remove(self.spark, file)
+        for gone in range(max(1, number - 1 - COMPACT_EVERY), number - 1):
+            remove(self.spark, f"{self.path}/snapshot={gone}")
+
 
 # --- immutable datasets -------------------------------------------------------------------------
 

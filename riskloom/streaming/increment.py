@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -115,7 +116,7 @@ def process_increment(
 ) -> Progress:
     """Process what is new in the log and move the mark.
 
-    The output folder is named after the interval's start and is replaced, not appended to: if the
+    The output folder is named after the key and the interval's start and is replaced, not appended to: if the
     job dies between writing results and moving the mark, the next run writes the same folder again.
     """
     marks.start(key)
@@ -126,7 +127,7 @@ def process_increment(
         return Progress(0, None)
     seen = Observation()
     rows = to_results(interval(log, low, high, wanted)).observe(seen, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("overwrite").parquet(f"{results_path}/after={low:%Y%m%dT%H%M%S%f}")
+    rows.write.mode("overwrite").parquet(f"{results_path}/mark={quote(key, safe='')}/after={low:%Y%m%dT%H%M%S%f}")
     marks.advance(high, key)
     return Progress(seen.get["rows"], high)
 

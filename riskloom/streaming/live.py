@@ -23,12 +23,18 @@ def window_stats(
     slide: str = "1 second", lateness: str = "1 minute",
 ) -> DataFrame:
     """Sliding-window totals and latencies of a stream, complete once the watermark passes a window.
-    The event time must be a TIMESTAMP: a zone-free one cannot carry a watermark, so it is cast."""
+
+    Two chained windows: rows are summed per tick of ``slide`` first, and only finished tick sums are
+    copied into the windows that cover them (30 for the defaults; the rows themselves never are).
+    The event time must be a TIMESTAMP: a zone-free one cannot carry a watermark, so it is cast.
+    """
     timed = stream.withColumn("_time", F.col(ts).cast("timestamp")).withWatermark("_time", lateness)
     good = F.col("_ok")
-    grouped = timed.withColumn("_ok", succeeded).groupBy(F.window("_time", window, slide).alias("_w")).agg(
-        F.count("*").alias("total"), F.count_if(good).alias("successful"),
-        F.sum(F.when(good, exact(latency, 6))).alias("_sum"), F.max(F.when(good, F.col(latency))).alias("max_latency"))
+    ticks = timed.withColumn("_ok", succeeded).groupBy(F.window("_time", slide).alias("_tick")).agg(
+        F.count("*").alias("_n"), F.count_if(good).alias("_good"),
+        F.sum(F.when(good, exact(latency, 6))).alias("_sum"), F.max(F.when(good, F.col(latency))).alias("_max"))
+    grouped = ticks.groupBy(F.window(F.window_time("_tick"), window, slide).alias("_w")).agg(
+        F.sum("_n").alias("total"), F.sum("_good").alias("successful"), F.sum("_sum").alias("_sum"), F.max("_max").alias("max_latency"))
     return grouped.select(
         F.col("_w.start").cast("timestamp_ntz").alias("window_start"),
         F.col("_w.end").cast("timestamp_ntz").alias("window_end"), "total", "successful",

@@ -3,12 +3,22 @@
 import pytest
 
 import __spark_entry__ as entry
+from riskloom import fixed_values as fv
 from tests.compare import database, differences
 
 SQL = entry.oracle_sql()
 ROWS_ONLY = [name for name in entry.queries() if name not in SQL]
 
 
+@pytest.fixture(scope="module", autouse=True)
+def fewer_trees():
+    """The queries train in full; here fewer trees keep the run short."""
+    full = dict(fv.BOOSTING)
+    fv.BOOSTING.update(rounds=30, depth=4)
+    yield
+    fv.BOOSTING.update(full)
+
+
 @pytest.fixture(scope="module")
 def con(sf):
     return database(sf)

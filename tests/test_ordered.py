@@ -119,16 +119,16 @@ def test_dense_codes_sort_by_code_point(spark):
     assert got == {x: i for i, x in enumerate(sorted(values))}
 
 
-@pytest.mark.parametrize("n,chunk", [(3, 100), (8, 100), (90, 30), (200, 21)])
-def test_rolling_throughput(spark, n, chunk):
+@pytest.mark.parametrize("n", [0, 4, 8, 10, 11, 12, 90, 1000])
+def test_rolling_throughput(spark, n):
     times = sorted(at((i * 13 % 97) * 10 + i // 50) for i in range(n))
     times[1:2] = [times[0]] if n > 1 else []
     times.sort()
     df = spark.createDataFrame([("s", t, i) for i, t in enumerate(times)], "s string, ts timestamp_ntz, i int")
-    got = {r.i: r.throughput for r in ordered.rolling_throughput(df, ["s"], "ts", ("i",), cell_seconds=50, chunk_rows=chunk).collect()}
+    got = {r.i: r.throughput for r in ordered.rolling_throughput(df, ["s"], "ts", ("i",), cell_seconds=50).collect()}
     w = min(20, n // 4)
     want = {}
-    for i in range(w, n):
+    for i in range(w, n) if n > 10 else ():
         seconds = (times[i] - times[i - w]).total_seconds()
         if seconds > 0:
             want[i] = w / seconds
@@ -168,3 +168,31 @@ def test_trailing_cutoff_is_exclusive(spark):
     assert st.trailing_stats(bad, ts="ts", succeeded=F.col("status") == "success", latency="ms", seconds=30, as_of=at(30)).first().avg_latency == 0.0
     none = st.trailing_stats(df, ts="ts", succeeded=F.col("status") == "success", latency="ms", seconds=30, as_of=at(10**6)).first()
     assert (none.total, none.avg_latency, none.p99_latency) == (0, 0.0, 0.0)
+
+
+def test_order_statistics_survive_an_outlier(spark):
+    df = spark.range(100_000).select((F.col("id") * 7 % 1000 + F.col("id") / 1e6).alias("v")).unionByName(spark.createDataFrame([(1e12,)], "v double"))
+    cells = df.groupBy(ordered.value_cell(F.col("v")).alias("c")).count().agg(F.max("count")).first()[0]
+    assert cells < 0.03 * 100_001
+    r = ordered.nearest_rank_percentiles(df, [], "v", {"p50": 50, "p100": 100}).first()
+    values = sorted(x.v for x in df.collect())
+    assert (r.n, r.p50, r.p100) == (100_001, values[50_000], 1e12)
+
+
+def test_value_cells_grow_with_the_value(spark):
+    values = [float("-inf"), -1e300, -2.0, -1.0, -1e-300, -0.0, 0.0, 5e-324, 1e-9, 1.0, 1.0001, 3.0, 1e300, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    cells = [r.c for r in df.select(ordered.value_cell(F.col("v")).alias("c")).collect()]
+    assert cells == sorted(cells) and cells[5] == cells[6] == 0
+
+
+def test_order_statistics_keep_long_digits(spark):
+    big = 2 ** 60
+    df = spark.createDataFrame([(big + i,) for i in range(5)], "v long")
+    assert ordered.nearest_rank_percentiles(df, [], "v", {"p50": 50}).first().p50 == big + 2
+
+
+def test_order_statistics_without_groups_have_no_product(spark):
+    df = spark.range(100).select(F.col("id").cast("double").alias("v"))
+    plan = ordered.nearest_rank_percentiles(df, [], "v", {"p50": 50})._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan

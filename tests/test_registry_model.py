@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom import fixed_values as fv
 from riskloom import schemas
+from riskloom.functions import rating
 from riskloom.plans import flow, registry, scoring
 from riskloom.sources import generate, tables
 from riskloom.sources.scratch import new_folder
@@ -49,6 +50,10 @@ def test_registry_life(spark):
     assert r.check("m", "x", {"test_r2": 0.79}) == "send_alert" and r.check("m", "x", {"test_r2": 0.8}) == "promote_model"
     r.set_metrics("m", "b", {"test_r2": 0.5}, at=day(1))
     assert r.version("m", "b").first().metrics == {"test_r2": 0.5}
+    # A metric set alone leaves the others.
+    r.set_metrics("m", "a", {"rmse": 3.0}, at=day(1))
+    assert r.version("m", "a").first().metrics == {"test_r2": 0.8, "rmse": 3.0}
+    assert r.check("m", "x", {"test_r2": 0.75}) == "send_alert" and r.check("m", "x", {"test_r2": float("nan")}) == "send_alert"
     # The old default stays, the version exactly at the cutoff stays, a model without default keeps all.
     assert r.expire(as_of=NOW, days=7) == 1
     assert sorted((v.model, v.version) for v in r.versions().collect()) == [("m", "a"), ("m", "b"), ("other", "z")]
@@ -118,3 +123,20 @@ def test_flow_promotes_then_alerts(spark, generated):
     assert model.importances().count() == 22 and [f.name for f in scoring.model_contract(spark, at.model(first["version"]))[0]] == fv.MODEL_INPUT_COLS
     sample = scoring.sample_contract(training)
     assert "predicted_premium" in sample["output"] and '"car_age"' in sample["input"]
+
+
+def test_expiry_removes_artifacts(spark):
+    folder = new_folder(spark, "artifacts")
+    r = registry.Registry(spark, f"{folder}/registry")
+    for name, age in (("old", 30), ("new", 1)):
+        spark.range(1).write.parquet(f"{folder}/{name}")
+        r.register("m", name, {"test_r2": 0.8}, artifact_path=f"{folder}/{name}", at=NOW - timedelta(days=age))
+    r.promote("m", "new", at=NOW)
+    assert r.expire(as_of=NOW, days=7) == 1
+    assert not tables.exists(spark, f"{folder}/old") and tables.exists(spark, f"{folder}/new")
+
+
+def test_unknown_age_is_not_eligible(spark):
+    df = spark.createDataFrame([(None, 5), (30, 5), (30, 15), (90, 60)], "age long, y long")
+    rows = df.select(rating.eligible_years("age").alias("most"), rating.eligible("age", "y").alias("ok")).collect()
+    assert [tuple(r) for r in rows] == [(None, None), (14, True), (14, False), (60, True)]

@@ -113,16 +113,12 @@ def test_encoder_missing_unknown_and_order(spark):
     assert got == [("b", 2, False), ("nope", 0, True), (None, 1, False), ("B", 0, False)]
 
 
-def test_encoder_size_paths_agree(spark, monkeypatch):
-    df = spark.createDataFrame([(f"v{i % 97}",) for i in range(300)], "c string")
-    results = []
-    for few, limit in ((1000, 1000), (1, 1000), (1, 5)):
-        monkeypatch.setattr(prep, "FEW_CLASSES", few)
-        monkeypatch.setattr(prep, "settled", lambda table, n=limit: scratch.settled(table, n))
-        encoder = prep.fit_encoder(df, ["c"])
-        results.append((bool(encoder.codes), encoder.small, sorted((r.c, r.c_encoded) for r in prep.encode(df, encoder).collect())))
-    assert [r[:2] for r in results] == [(True, True), (False, True), (False, False)]
-    assert results[0][2] == results[1][2] == results[2][2]
+def test_encoder_many_classes_in_order(spark):
+    names = [f"customer-with-a-long-common-beginning-{i}" for i in range(3000)] + ["", "é", "zz", "A"]
+    df = spark.createDataFrame([(n,) for n in names * 2], "c string")
+    encoder = prep.fit_encoder(df, ["c"])
+    got = {r.c: r.c_encoded for r in prep.encode(df, encoder).distinct().collect()}
+    assert got == {n: i for i, n in enumerate(sorted(set(names), key=str.encode))}
 
 
 def test_scaler(spark):

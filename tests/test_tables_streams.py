@@ -136,7 +136,7 @@ def test_log_to_transformation_results(spark):
     results = lambda part: increment.transformation_rows(part, encoder, scaler, prefix="svc", at="2024-01-02 11:00:00")
     marks = increment.Watermarks(spark, f"{folder}/marks")
     assert increment.process_increment(log, marks, f"{folder}/out", results, prefix="svc").rows == 2
-    out = spark.read.parquet(f"{folder}/out").drop("after")
+    out = spark.read.parquet(f"{folder}/out").drop("after", "mark")
     assert out.columns == schemas.TRANSFORMATION_RESULTS.names and [f.dataType for f in out.schema] == [f.dataType for f in schemas.TRANSFORMATION_RESULTS]
     got = {r.car_make_input: r for r in out.collect()}
     assert (got["BMW"].age_input, got["BMW"].predicted_premium, got["BMW"].car_make_encoded, got["Ford"].car_make_encoded) == (5, 700.25, -1.0, 1.0)
@@ -186,3 +186,23 @@ def test_latest_table_over_batches_and_compaction(spark, sf):
 
 def test_event_log_columns(spark, sf):
     assert event_log(spark, sf).columns == ["timestamp", "function_name", "resource_attributes", "record_attributes"]
+
+
+def test_two_marks_keep_their_results_apart(spark):
+    folder = new_folder(spark, "marks")
+    marks = increment.Watermarks(spark, f"{folder}/marks")
+    log = spark.createDataFrame([(T0, "predict", 1)], LOG)
+    for key in ("first", "second/one"):
+        increment.process_increment(log, marks, f"{folder}/out", to_rows, key=key)
+    assert spark.read.parquet(f"{folder}/out").count() == 2
+
+
+def test_state_table_stays_small(spark):
+    path = new_folder(spark, "state")
+    state = tables.StateTable(spark, path, schemas.WATERMARK)
+    rows = lambda i: spark.createDataFrame([("k", datetime(2024, 1, 1 + i % 28))], schemas.WATERMARK)
+    for i in range(tables.COMPACT_EVERY + 3):
+        state.replace(rows(i))
+    assert state.read().collect() == rows(i).collect()
+    assert len(spark.read.parquet(f"{path}/commits").inputFiles()) <= 4
+    assert not tables.exists(spark, f"{path}/snapshot=1") and tables.exists(spark, f"{path}/snapshot={tables.COMPACT_EVERY - 1}")
