@@ -36,6 +36,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a frame as one struct, so that no name of theirs can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def unwrapped(df: DataFrame, columns: list[str], row: str = "row") -> DataFrame:
+    """The columns of such a struct."""
+    return df.select(*[F.col(row)[c].alias(c) for c in columns])
+
+
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id's decimal text modulo ``modulus``; an absent id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -19,8 +19,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from riskloom.llm.base import remainder, slices, stored
+from riskloom.llm.base import remainder, slices, stored, unwrapped, whole_row
 
 ORDER = 4
 #: Capacity of a model: n-grams kept per language, the most frequent ones.
@@ -279,7 +280,7 @@ def kneser_ney(table: pd.DataFrame) -> Models:
         return keys[order], np.log(np.array(list(rows.values())))[order].astype(np.float32)
 
     return Models(languages, [packed(p, k + 1) for k, p in enumerate(probs)], [packed(b, k + 1) for k, b in enumerate(backs)],
-                  float(np.log(np.nanmean(base))) if width else floor, np.full(width, np.inf))
+                  float(np.log(np.nanmean(base))) if width else floor, np.full(width, -floor))
 
 
 def _entropy_batches(models: Models):
@@ -300,8 +301,8 @@ def cross_entropies(docs: DataFrame, models: Models, keep: tuple[str, ...]) -> D
     shared = docs.sparkSession.sparkContext.broadcast(models)
     names = [f"k{i}" for i in range(len(keep))]
     narrow = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    schema = ", ".join(f"{n} {t}" for n, t in narrow.dtypes[:-1])
-    out = narrow.mapInArrow(_entropy_batches(shared), f"{schema}, h array<double>")
+    schema = StructType([*narrow.schema.fields[:-1], StructField("h", ArrayType(DoubleType()))])
+    out = narrow.mapInArrow(_entropy_batches(shared), schema)
     return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "h")
 
 
@@ -316,8 +317,8 @@ def train(docs: DataFrame) -> Models:
 
     One row in `HELD_BACK` (by hash of the text) is not counted but calibrates: per language the
     rejection limit lies above the median cross-entropy of its own texts by four times the distance
-    to their 99th percentile, at least by `MARGIN` (short texts vary) and at most at the entropy of
-    letters drawn at random; the temperature is the one of `TEMPERATURES` under which the held-back
+    to their 99th percentile, at least by `MARGIN` (short texts vary), and never above the
+    entropy of letters drawn at random; the temperature is the one of `TEMPERATURES` under which the held-back
     languages are likeliest. What reaches the driver is bounded by `CAPACITY` n-grams per
     language, whatever the corpus. Without any training rows there are no languages.
     """
@@ -333,7 +334,7 @@ def train(docs: DataFrame) -> Models:
     sizes = scored.groupBy("j").agg(F.percentile_approx(own, F.array(F.lit(0.5), F.lit(0.99)), 10_000).alias("q")).collect()
     for row in sizes:
         middle, high = row["q"]
-        models.limits[row["j"] - 1] = min(-models.floor, middle + max(MARGIN, 4 * (high - middle)))
+        models.limits[row["j"] - 1] = min(models.limits[row["j"] - 1], middle + max(MARGIN, 4 * (high - middle)))
     best = F.array_min("h")
     losses = scored.agg(*[F.sum((own - best) / t - F.log(_share(t))) for t in TEMPERATURES]).first()
     if losses[0] is not None:
@@ -369,5 +370,5 @@ def trained_on(docs: DataFrame) -> DataFrame:
 def accepted_only(docs: DataFrame) -> DataFrame:
     """The documents of ``docs`` whose language is recognised, with their columns; models come from the rows not held out."""
     models = train(trained_on(docs))
-    out = identified(docs.withColumn("_row", F.struct(*docs.columns)), models, ("_row",))
-    return out.where("accepted").select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    out = identified(docs.select(whole_row(docs).alias("row"), "text"), models, ("row",))
+    return unwrapped(out.where("accepted"), docs.columns)

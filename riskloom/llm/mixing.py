@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.base import WORD, stored
+from riskloom.llm.base import WORD, stored, unwrapped, whole_row
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
@@ -156,5 +156,5 @@ def mixed(docs: DataFrame, seed: int = 42) -> DataFrame:
     """
     taken = mix(docs, seed).where("copies > 0").groupBy("spot").agg(F.sum("copies").cast("int").alias("_copies"))
     spot = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("source").cast("string"))
-    one = docs.withColumn("_spot", spot).join(taken, F.col("_spot") == F.col("spot")).dropDuplicates(["_spot"])
-    return one.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    one = docs.select(whole_row(docs).alias("row"), spot.alias("spot")).join(taken, "spot").dropDuplicates(["spot"])
+    return unwrapped(one.select("row", F.explode(F.sequence(F.lit(1), "_copies"))), docs.columns)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from riskloom.llm.base import slices, stored
+from riskloom.llm.base import slices, stored, whole_row
 from riskloom.llm.components import components
 
 PARAGRAPH, REACH, SHINGLE = 21, 31, 5
@@ -254,12 +254,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Texts that lose nothing are untouched, and so are rows without id or text. ``n_chars``, if there
     is one, follows the text.
     """
-    lists = repeats(docs).where("first_doc != doc_id").groupBy(F.col("doc_id").alias("_doc")).agg(_spans().alias("_spans"))
-    joined = docs.join(lists, F.col("doc_id").cast("long") == F.col("_doc"), "left")
-    changed = F.col("_spans").isNotNull() & F.col("text").isNotNull()
-    joined = joined.withColumn("_text", _cut(F.when(changed, F.col("text").cast("string")), F.when(changed, F.col("_spans.place")), F.when(changed, F.col("_spans.words"))))
-    text = F.when(changed, F.col("_text")).otherwise(F.col("text"))
-    out = {c: F.col(c) for c in docs.columns} | {"text": text.alias("text")}
+    lists = repeats(docs).where("first_doc != doc_id").groupBy("doc_id").agg(_spans().alias("spans"))
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id")).join(lists, "doc_id", "left")
+    text = F.col("row")["text"]
+    changed = F.col("spans").isNotNull() & text.isNotNull()
+    rows = rows.withColumn("text", _cut(F.when(changed, text.cast("string")), F.when(changed, F.col("spans.place")), F.when(changed, F.col("spans.words"))))
+    new = {"text": F.when(changed, F.col("text")).otherwise(text).alias("text")}
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(changed, F.length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")).alias("n_chars")
-    return joined.select(*out.values())
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.when(changed, F.length("text").cast(kind)).otherwise(F.col("row")["n_chars"]).alias("n_chars")
+    return rows.select(*[new.get(c, F.col("row")[c].alias(c)) for c in docs.columns])

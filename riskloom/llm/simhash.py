@@ -131,4 +131,4 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     groups = near_duplicates(docs)
     leaders = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     kept = docs.where("doc_id is not null").join(leaders, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    return kept.unionByName(docs.where("doc_id is null"))

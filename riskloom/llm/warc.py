@@ -128,7 +128,7 @@ def write(rows: DataFrame, folder: str, trained_on: bytes = b"") -> DataFrame:
             for row in batch.to_pylist():
                 if out is None:
                     path = f"{root}/{uuid.uuid4().hex}.warc.zst"
-                    out = filesystem.open_output_stream(path)
+                    out = filesystem.open_output_stream(path, compression=None)
                     out.write(struct.pack("<II", DICTIONARY_FRAME, len(shared.value)) + shared.value)
                     done.append([path.removeprefix(root), 0, 8 + len(shared.value)])
                 frame = packer.compress(record(row))
@@ -203,7 +203,7 @@ def read(archives: DataFrame, bodies: bool = True) -> DataFrame:
             for uri in batch.column("path").to_pylist():
                 filesystem, path = _filesystem(uri)
                 rows, held = [], 0
-                with filesystem.open_input_stream(path) as stream:
+                with filesystem.open_input_stream(path, compression=None) as stream:
                     for raw in records(stream):
                         rows.append(parsed(raw))
                         held += len(raw)

@@ -1,0 +1 @@
+from tests.conftest import sf, spark  # noqa: F401
