@@ -84,7 +84,7 @@ def append(df: DataFrame, path: str, schema: StructType, defaults: dict[str, Col
 
 def insert_row(spark: SparkSession, path: str, schema: StructType, **values) -> int:
     """Append one row of bound values (Column expressions allowed)."""
-    row = spark.range(1).select(*[
+    row = spark.range(0, 1, 1, 1).select(*[
         (v if isinstance(v, Column) else F.lit(v)).alias(name) for name, v in values.items()])
     return append(row, path, schema)
 
