@@ -46,19 +46,22 @@ def with_position(df: DataFrame, by: list[str], order: list, cell: Column) -> Da
 BOUNDS, SAMPLED, BOUND_CHARS = 63, 1024, 64
 
 
-def dense_codes(values: DataFrame, by: list[str], value: str) -> DataFrame:
-    """0-based code of each (distinct) text value in sorted order within ``by``.
+def text_cell(df: DataFrame, column: str) -> Column:
+    """A cell for `with_position` that cuts a text column evenly, however alike its values begin.
 
-    The values are cut at bounds taken from a sample (by hash, so reruns agree) of `SAMPLED` of
-    them, of which at most `BOUND_CHARS` characters each are needed; the pieces are sorted apart, so
-    a column of very many values, alike in their beginnings or not, is not one task.
+    The bounds come from a sample (by hash, so reruns agree) of `SAMPLED` values, of which at most
+    `BOUND_CHARS` characters each are needed; the cell of a value is how many bounds it has reached.
     """
-    drawn = values.select(F.substring(value, 1, BOUND_CHARS).alias("b"), F.xxhash64(value).alias("h")).orderBy("h", "b").limit(SAMPLED)
+    drawn = df.select(F.substring(column, 1, BOUND_CHARS).alias("b"), F.xxhash64(column).alias("h")).orderBy("h", "b").limit(SAMPLED)
     bounds = sorted({r["b"].encode() for r in drawn.collect() if r["b"]})
     step = max(1, len(bounds) // (BOUNDS + 1))
     chosen = [b.decode() for b in bounds[step::step]][:BOUNDS]
-    cell = F.size(F.filter(F.array(*map(F.lit, chosen)), lambda b: b <= F.col(value))) if chosen else F.lit(0)
-    return with_position(values, by, [value], cell).select(
+    return F.size(F.filter(F.array(*map(F.lit, chosen)), lambda b: b <= F.col(column))) if chosen else F.lit(0)
+
+
+def dense_codes(values: DataFrame, by: list[str], value: str) -> DataFrame:
+    """0-based code of each (distinct) text value in sorted order within ``by``."""
+    return with_position(values, by, [value], text_cell(values, value)).select(
         *by, value, F.col("position").cast("int").alias("code"))
 
 

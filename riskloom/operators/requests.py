@@ -10,8 +10,6 @@ from riskloom import fixed_values as fv
 from riskloom.functions.numeric import safe_float, safe_int, text_or
 from riskloom.functions.rating import history_defaults
 
-SPREAD = 4096
-
 
 def resolve_requests(requests: DataFrame, features: DataFrame) -> DataFrame:
     """Every request with its feature columns and ``customer_type``.
@@ -24,7 +22,7 @@ def resolve_requests(requests: DataFrame, features: DataFrame) -> DataFrame:
     stored = [c for c in features.columns if c not in ("customer_id", "updated_at")]
     known = features.select(
         F.col("customer_id").alias("_key"), F.struct(*stored).alias("_stored"))
-    nobody = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*requests.columns), F.lit(SPREAD)).cast("string"))
+    nobody = F.concat(F.lit("\u0000"), F.xxhash64(*requests.columns).cast("string"))
     key = F.coalesce(F.nullif("customer_id", F.lit("")), nobody)
     joined = requests.withColumn("_key", key).join(known, "_key", "left")
 

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, LongType, TimestampNTZType
+from pyspark.sql.types import DataType, LongType, StructField, StructType, TimestampNTZType
 
 from riskloom.functions.times import clock
 
@@ -46,8 +46,13 @@ def remove(spark: SparkSession, path: str) -> bool:
 
 # --- writing ------------------------------------------------------------------------------------
 
+def with_default(name: str, kind: DataType, default: str) -> StructField:
+    """A column whose default, a SQL expression, is kept with the table's schema."""
+    return StructField(name, kind, True, {"default": default})
+
+
 def ensure_table(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Create an empty typed table unless there is one."""
+    """Create an empty typed table unless there is one. Column defaults stay with it."""
     if not exists(spark, path):
         spark.createDataFrame([], schema).coalesce(1).write.parquet(path)
 
@@ -68,16 +73,20 @@ def overwrite(df: DataFrame, target: str) -> int:
     return seen.get["rows"]
 
 
-def append(df: DataFrame, path: str, schema: StructType, defaults: dict[str, Column] | None = None) -> int:
-    """INSERT with a column list: columns match by name, absent ones take their default or NULL."""
+def append(df: DataFrame, path: str, schema: StructType | None = None, defaults: dict[str, Column] | None = None) -> int:
+    """INSERT with a column list: columns match by name, absent ones take their default or NULL.
+
+    Without ``schema`` the table's own one counts, with the defaults kept in it; ``defaults`` go before those."""
     defaults = defaults or {}
+    schema = df.sparkSession.read.parquet(path).schema if schema is None else schema
     unknown = [c for c in df.columns if c not in schema.names]
     if unknown:
         raise ValueError(f"not columns of the table: {unknown}")
 
     def value(field: StructField) -> Column:
-        c = F.col(field.name) if field.name in df.columns else defaults.get(field.name, F.lit(None))
-        return c.cast(field.dataType).alias(field.name)
+        kept = F.expr(field.metadata["default"]) if "default" in field.metadata else F.lit(None)
+        c = F.col(field.name) if field.name in df.columns else defaults.get(field.name, kept)
+        return c.cast(field.dataType).alias(field.name, metadata=field.metadata)
 
     return _write(df.select(*[value(f) for f in schema.fields]), path, "append")
 
@@ -166,5 +175,14 @@ def write_dataset(df: DataFrame, root: str, name: str, version: str) -> dict:
     return {"dataset_name": name, "dataset_version": version, "path": path, "row_count": _write(df, path, "errorifexists")}
 
 
+def list_datasets(spark: SparkSession, root: str) -> DataFrame:
+    """(dataset_name, dataset_version) of every frozen dataset under ``root``, from the folders' names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/version=*")
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) or []
+    paths = [f.getPath() for f in found]
+    rows = [(p.getParent().getName(), p.getName().removeprefix("version=")) for p in paths]
+    return spark.createDataFrame(sorted(rows), "dataset_name string, dataset_version string")
+
+
 def read_dataset(spark: SparkSession, root: str, name: str, version: str) -> DataFrame:
     return spark.read.parquet(dataset_path(root, name, version))
