@@ -59,22 +59,20 @@ def _shrunk(hosts: DataFrame, rule: str) -> DataFrame:
     beyond what chance gives (moments), between 1 and 1000 documents.
     """
     fails, n = F.col(f"{rule}_fails").cast("double"), F.col("n_docs").cast("double")
-    pooled = hosts.agg(F.sum(fails).alias("f"), F.sum(n).alias("n"), F.count("*").alias("h"))
-    pooled = pooled.select((F.col("f") / F.col("n")).alias("mean"), "h", (F.col("n") / F.col("h")).alias("per_host"))
-    spread = hosts.crossJoin(F.broadcast(pooled)).groupBy("mean", "h", "per_host").agg(F.avg((fails / n - F.col("mean")) ** 2).alias("var"))
+    pooled = hosts.agg(F.struct((F.sum(fails) / F.sum(n)).alias("mean"), (F.sum(n) / F.count("*")).alias("per_host"))).scalar()
+    apart = hosts.select(fails.alias("f"), n.alias("n"), pooled["mean"].alias("mean"), pooled["per_host"].alias("per_host"))
+    spread = apart.groupBy("mean", "per_host").agg(F.avg((F.col("f") / F.col("n") - F.col("mean")) ** 2).alias("var"))
     chance = F.col("mean") * (1 - F.col("mean"))
     beyond = F.col("var") - chance / F.col("per_host")
     strength = F.when(beyond > 0, F.least(F.lit(1000.0), F.greatest(F.lit(1.0), chance / beyond - 1))).otherwise(1000.0)
-    prior = spread.select(F.col("mean").alias("prior"), strength.alias("strength"))
-    rate = (fails + F.col("prior") * F.col("strength")) / (n + F.col("strength"))
-    return hosts.crossJoin(F.broadcast(prior)).withColumn(f"{rule}_rate", rate).drop("prior", "strength")
+    prior = spread.select(F.struct(F.col("mean").alias("mean"), strength.alias("strength"))).scalar()
+    return hosts.withColumn(f"{rule}_rate", (fails + prior["mean"] * prior["strength"]) / (n + prior["strength"]))
 
 
 def host_verdicts(measured: DataFrame) -> DataFrame:
     """``host, n_docs, host_fails, <rule>_rate..., host_kept``; ``measured`` as from `judged`.
 
-    Only one row per host is shuffled (partial sums), and the prior is one row: that is all that
-    is broadcast.
+    Only one row per host is shuffled (partial sums); the prior is one row, a scalar subquery.
     """
     hosts = stored(measured.groupBy("host").agg(
         F.count("*").alias("n_docs"), F.count_if("base_failed").alias("base_fails"),

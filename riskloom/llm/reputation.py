@@ -83,15 +83,14 @@ def _shrink(rows: DataFrame, parent: str) -> DataFrame:
         F.sum((F.col("bad") - n * p) ** 2 - n * p * (1 - p)).alias("over"), F.sum(n * (n - 1) * p * (1 - p)).alias("base"))
     rho = F.when(F.col("base") > 0, F.col("over") / F.col("base")).otherwise(0.0)
     strength = F.when(rho > 0, F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), 1 / rho - 1))).otherwise(STRONGEST)
-    joined = rows.crossJoin(F.broadcast(moments.select(strength.alias("strength"))))
-    a = F.col("bad") + p * F.col("strength")
-    return joined.withColumn("weight", n + F.col("strength")).withColumn("rate", a / F.col("weight"))
+    fitted = moments.select(strength).scalar()
+    return rows.withColumn("weight", n + fitted).withColumn("rate", (F.col("bad") + p * fitted) / F.col("weight"))
 
 
 def reputations(hosts: DataFrame, seen: DataFrame) -> DataFrame:
     """``host, n, bad, rate, lower, host_verdict`` for every row of ``hosts (host)``, from outcomes ``seen (host, bad)``.
 
-    The tables here have one row per host or fewer; the only broadcasts are one-row priors.
+    The tables here have one row per host or fewer; the priors are scalar subqueries.
     A host without outcomes inherits its domain's rate with the prior's own spread; without any
     outcomes at all every host is allowed.
     """
@@ -99,8 +98,8 @@ def reputations(hosts: DataFrame, seen: DataFrame) -> DataFrame:
     all_hosts = hosts.join(counted, "host", "left").na.fill(0, ["n", "bad"])
     all_hosts = stored(all_hosts.withColumns(_levels(F.col("host"))), "reputation-hosts")
     suffixes = all_hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    total = all_hosts.agg(((F.sum("bad") + 1.0) / (F.sum("n") + 2.0)).alias("overall"))
-    suffixes = _shrink(suffixes.crossJoin(F.broadcast(total)), "overall").select("suffix", F.col("rate").alias("suffix_rate"))
+    total = all_hosts.agg((F.sum("bad") + 1.0) / (F.sum("n") + 2.0)).scalar()
+    suffixes = _shrink(suffixes.withColumn("overall", total), "overall").select("suffix", F.col("rate").alias("suffix_rate"))
     domains = all_hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = _shrink(domains.join(suffixes, "suffix"), "suffix_rate").select("domain", F.col("rate").alias("domain_rate"))
     shrunk = _shrink(all_hosts.join(domains, "domain"), "domain_rate")
