@@ -28,7 +28,7 @@ REVISIT_BYTES = 1000
 DICTIONARY_FRAME = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2026-01-01T00:00:00Z"
-#: Sample for the dictionary: this many records of at most this many payload bytes, by hash of the page.
+#: Sample for the dictionary: about this many records of at most this many payload bytes, by hash of the page.
 SAMPLE_RECORDS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 65_536, 65_536
 ARCHIVE_BYTES = 1 << 30
 LEVEL = 3
@@ -91,8 +91,10 @@ _PLAIN = "".join(chr(c) for c in range(33, 127))
 def dictionary(rows: DataFrame) -> bytes:
     """A dictionary trained on a bounded sample of `payloads` as response records; empty where they are too few to train on."""
     mark = F.xxhash64(F.lit("warc"), "page_id", "payload_digest")
-    small = rows.where(F.col("payload_bytes") <= SAMPLE_BYTES).withColumn("mark", mark)
-    sample = [record(r.asDict() | {"record_type": "response"}) for r in small.orderBy("mark").limit(SAMPLE_RECORDS).drop("mark").collect()]
+    # One row in so many, so that what reaches the driver does not grow with the tasks.
+    share = max(1, rows.count() // SAMPLE_RECORDS)
+    few = rows.where((F.pmod(mark, F.lit(share)) == 0) & (F.col("payload_bytes") <= SAMPLE_BYTES)).limit(2 * SAMPLE_RECORDS).collect()
+    sample = [record(r.asDict() | {"record_type": "response"}) for r in sorted(few, key=lambda r: (r["payload_digest"], r["page_id"] or 0))]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, sample).as_bytes()
     except (zstandard.ZstdError, ValueError):
