@@ -46,12 +46,21 @@ def unwrapped(df: DataFrame, columns: list[str], row: str = "row") -> DataFrame:
     return df.select(*[F.col(row)[c].alias(c) for c in columns])
 
 
+def apart(df: DataFrame, key: str) -> DataFrame:
+    """The same rows with the long ``key`` computed anew.
+
+    A join on it then shuffles them for itself instead of taking over the partitions of the aggregate
+    they come from, and only between two shuffles of its own does Spark split a hot key of the other side.
+    """
+    return df.withColumn(key, F.col(key) + F.lit(0).cast("long"))
+
+
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id's decimal text modulo ``modulus``; an absent id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of one text or binary column, at least one row each."""
     for batch in batches:
         values = batch.column(column)

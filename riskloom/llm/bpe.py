@@ -21,13 +21,14 @@ import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from riskloom.llm.base import slices
 
 #: How byte-level tokenizers cut a text before merging (fixed value of the vocabulary's format).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Pieces remembered by one worker; when full, the memory starts anew. Results do not depend on it.
-REMEMBERED = 300_000
+#: Pieces, and pairs of tokens, remembered by one worker; when full, the memory starts anew. Results do not depend on it.
+REMEMBERED = 120_000
 LONG_PIECE = 200
 
 
@@ -38,16 +39,41 @@ def _byte_letters() -> dict[str, int]:
     return letters | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
 
 
+def _tokens(spec: dict) -> tuple[dict[str, bytes], dict[bytes, int], dict[str, int]]:
+    """From a tokenizers file: its words as bytes, the ids of those bytes, and the ids of the special texts."""
+    letters = _byte_letters()
+    raw = {word: bytes(letters[c] for c in word) for word in spec["model"]["vocab"] if all(c in letters for c in word)}
+    ids = {raw[word]: i for word, i in spec["model"]["vocab"].items() if word in raw}
+    return raw, ids, {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+
+
+class Offsets:
+    """The decoder: the bytes of all tokens in one string, and where those of each id begin and end."""
+
+    def __init__(self, content: bytes) -> None:
+        _, ids, special = _tokens(json.loads(content))
+        table = {i: t for t, i in ids.items()} | {i: t.encode() for t, i in special.items()}
+        size = max(table, default=-1) + 1
+        self.offsets = np.concatenate(([0], np.cumsum(np.array([len(table.get(i, b"")) for i in range(size)], np.int64))))
+        self.blob = np.frombuffer(b"".join(table.get(i, b"") for i in range(size)), np.uint8)
+
+    def decode_flat(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The bytes of token ids; ``ends`` cuts them into texts. An id outside the table is an error."""
+        lengths = self.offsets[ids + 1] - self.offsets[ids]
+        stops = np.cumsum(lengths)
+        at = np.repeat(self.offsets[ids] - (stops - lengths), lengths) + np.arange(int(stops[-1]) if len(stops) else 0)
+        whole = self.blob[at].tobytes()
+        cuts = np.concatenate(([0], np.concatenate(([0], stops))[ends]))
+        return [whole[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+
 class Vocabulary:
-    """Tokens, merges and the tables of the encoder and decoder, from a tokenizers JSON file's bytes."""
+    """Tokens, merges and the encoder's tables, from a tokenizers JSON file's bytes."""
 
     def __init__(self, content: bytes) -> None:
         spec = json.loads(content)
-        model, letters = spec["model"], _byte_letters()
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        raw = {word: bytes(letters[c] for c in word) for word in model["vocab"] if all(c in letters for c in word)}
-        self.ids = {raw[word]: i for word, i in model["vocab"].items() if word in raw}
-        self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        raw, self.ids, self.special = _tokens(spec)
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
         self.rank: dict[tuple[bytes, bytes], int] = {}
         self.halves: dict[bytes, tuple[bytes, bytes]] = {}
         self.age: dict[bytes, int] = {}  # the merge that makes a token; single bytes are older than all
@@ -63,11 +89,6 @@ class Vocabulary:
         self.automaton.make_automaton()
         self.shorter = {t: next((t[:n] for n in range(len(t) - 1, 0, -1) if t[:n] in self.usable), None) for t in self.usable}
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
-        table = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
-        size = max(table, default=-1) + 1
-        lengths = np.array([len(table.get(i, b"")) for i in range(size)], np.int64)
-        self.offsets = np.concatenate(([0], np.cumsum(lengths)))
-        self.blob = np.frombuffer(b"".join(table.get(i, b"") for i in range(size)), np.uint8)
         self.split_special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
 
     def together(self, a: bytes, b: bytes, whole: bool = False) -> bool:
@@ -98,7 +119,7 @@ class Vocabulary:
     def compatible(self, a: bytes, b: bytes) -> bool:
         found = self.pairs.get((a, b))
         if found is None:
-            if len(self.pairs) >= 4 * REMEMBERED:
+            if len(self.pairs) >= REMEMBERED:
                 self.pairs.clear()
             found = self.pairs[a, b] = self.together(a, b)
         return found
@@ -145,15 +166,6 @@ class Vocabulary:
                 out.extend(chain.from_iterable(map(memory.__getitem__, PIECES.findall(part))))
         return out
 
-    def decode_flat(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
-        """The bytes of token ids; ``ends`` cuts them into texts. An id outside the table is an error."""
-        lengths = self.offsets[ids + 1] - self.offsets[ids]
-        stops = np.cumsum(lengths)
-        at = np.repeat(self.offsets[ids] - (stops - lengths), lengths) + np.arange(int(stops[-1]) if len(stops) else 0)
-        whole = self.blob[at].tobytes()
-        cuts = np.concatenate(([0], np.concatenate(([0], stops))[ends]))
-        return [whole[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-
 
 class _Memory(dict):
     """Piece to ids; forgets everything when full. Very long pieces are encoded each time."""
@@ -171,35 +183,48 @@ class _Memory(dict):
         return ids
 
 
-@lru_cache(maxsize=2)
-def _loaded(content: bytes) -> tuple[Vocabulary, _Memory]:
+@lru_cache(maxsize=1)
+def _encoder(content: bytes) -> tuple[Vocabulary, _Memory]:
     vocabulary = Vocabulary(content)
     return vocabulary, _Memory(vocabulary)
 
 
-def encoded(docs: DataFrame, vocabulary: bytes, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+@lru_cache(maxsize=1)
+def _decoder(content: bytes) -> Offsets:
+    return Offsets(content)
+
+
+def _texts(table: Offsets, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.array([t.decode("utf-8", "replace") for t in table.decode_flat(ids, ends)], pa.string())
+
+
+def encoded(docs: DataFrame, vocabulary: bytes, keep: tuple[str, ...] = ("doc_id",), text: str = "text", back: bool = False) -> DataFrame:
     """``keep`` columns and ``ids array<int>`` for every row; a null text is empty and has no ids.
 
-    ``vocabulary`` is the content of the tokenizer's file (its size is the vocabulary's, not the
-    data's); each worker builds the tables once. Rows stay where they are: no shuffle.
+    With ``back`` also ``decoded``, the text that the ids give; one worker does both, so that a task
+    needs no second process. ``vocabulary`` is the content of the tokenizer's file (its size is the
+    vocabulary's, not the data's); each worker builds the tables once. Rows stay where they are: no shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     names = [f"k{i}" for i in range(len(keep))]
     narrow = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    schema = ", ".join(f"{n} {t}" for n, t in narrow.dtypes[:-1])
+    kept = narrow.schema.fields[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, memory = _loaded(shared.value)
-        for batch in slices(batches, "text", 2_000_000):
+        words, memory = _encoder(shared.value)
+        for batch in slices(batches, "text", 1_000_000):
             flat, ends = [], [0]
             for value in batch.column("text").to_pylist():
                 flat.extend(words.encode(value, memory))
                 ends.append(len(flat))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, np.int32)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), ids], names=[*names, "ids"])
+            marks = np.array(flat, np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(marks))
+            extra = [_texts(_decoder(shared.value), marks, np.array(ends[1:], np.int64))] if back else []
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), ids, *extra], names=[*names, "ids", *["decoded"] * back])
 
-    out = narrow.mapInArrow(run, f"{schema}, ids array<int>")
-    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "ids")
+    made = [StructField("ids", ArrayType(IntegerType())), *[StructField("decoded", StringType())] * back]
+    out = narrow.mapInArrow(run, StructType([*kept, *made]))
+    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], *[f.name for f in made])
 
 
 def decoded(tokens: DataFrame, vocabulary: bytes, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -207,18 +232,17 @@ def decoded(tokens: DataFrame, vocabulary: bytes, keep: tuple[str, ...] = ("doc_
     shared = tokens.sparkSession.sparkContext.broadcast(vocabulary)
     names = [f"k{i}" for i in range(len(keep))]
     narrow = tokens.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    schema = ", ".join(f"{n} {t}" for n, t in narrow.dtypes[:-1])
+    kept = narrow.schema.fields[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, _ = _loaded(shared.value)
+        words = _decoder(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 lists = part.column("ids")
                 counts = np.asarray(pa.compute.list_value_length(lists), np.int64)
-                texts = words.decode_flat(np.asarray(lists.flatten(), np.int64), np.cumsum(counts))
-                values = pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
+                values = _texts(words, np.asarray(lists.flatten(), np.int64), np.cumsum(counts))
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), values], names=[*names, "text"])
 
-    out = narrow.mapInArrow(run, f"{schema}, text string")
+    out = narrow.mapInArrow(run, StructType([*kept, StructField("text", StringType())]))
     return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "text")

@@ -101,7 +101,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, first, back = np.unique(marks, return_index=True, return_inverse=True)
         held[lang] = keys, np.bincount(back, counts, len(keys)).astype(np.int64), grams[first]
 
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", 1_000_000):
         langs = batch.column("lang").to_pylist()
         waiting: dict[str, list[np.ndarray]] = {}
         for lang, text in zip(langs, batch.column("text").to_pylist()):
@@ -285,7 +285,7 @@ def kneser_ney(table: pd.DataFrame) -> Models:
 
 def _entropy_batches(models: Models):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1_000_000):
             found = models.value.entropies(batch.column("text").to_pylist())
             flat = pa.array(np.where(np.isnan(found), 0, found).ravel())
             ends = pa.array(np.arange(len(found) + 1) * found.shape[1], pa.int32())
