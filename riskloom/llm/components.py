@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.base import apart
 from riskloom.sources.scratch import checkpointed
 
 
@@ -29,9 +30,9 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     while not _settled(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(apart(low, "u"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(apart(lowest, "u"), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = checkpointed(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct())
     centres = now.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(centres)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from riskloom.llm.base import slices, stored, whole_row
+from riskloom.llm.base import apart, slices, stored, whole_row
 from riskloom.llm.components import components
 
 PARAGRAPH, REACH, SHINGLE = 21, 31, 5
@@ -156,7 +156,7 @@ def _similar(docs: DataFrame, met: DataFrame) -> DataFrame:
     come from the first text that holds the paragraph; other texts stay out of it.
     """
     several = met.groupBy("key").agg(F.min("content").alias("lo"), F.max("content").alias("hi")).where("lo != hi").select("key")
-    wanted = met.join(several, "key", "left_semi").groupBy("content").agg(F.min("doc_id").alias("doc_id"))
+    wanted = met.join(apart(several, "key"), "key", "left_semi").groupBy("content").agg(F.min("doc_id").alias("doc_id"))
     lists = wanted.groupBy("doc_id").agg(F.collect_set("content").alias("wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +175,7 @@ def _similar(docs: DataFrame, met: DataFrame) -> DataFrame:
     texts = _narrow(docs).join(lists, "doc_id").select("doc_id", "text", "wanted")
     entered = stored(texts.mapInArrow(run, "content long, rest long").distinct(), "passages-rests")
     centres = entered.groupBy("rest").agg(F.min("content").alias("b"), F.max("content").alias("hi")).where("b != hi").select("rest", "b")
-    return entered.join(centres, "rest").where("content != b").select(F.col("content").alias("a"), "b").distinct()
+    return entered.join(apart(centres, "rest"), "rest").where("content != b").select(F.col("content").alias("a"), "b").distinct()
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     every = stored(paragraphs(docs), "passages-paragraphs")
     keyed = every.select("doc_id", "place", "reach", "tail", "content", F.explode(F.array(*[f"key{b}" for b in range(BANDS)])).alias("key"))
     common = keyed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo != hi").select("key")
-    met = stored(keyed.join(common, "key"), "passages-met")
+    met = stored(keyed.join(apart(common, "key"), "key"), "passages-met")
     linked = components(_similar(docs, met))
     members = met.select("doc_id", "place", "reach", "tail", "content").distinct().join(linked, F.col("content") == F.col("id"), "left")
     members = stored(members.select("doc_id", "place", "reach", "tail", F.coalesce("component", "content").alias("passage")), "passages-members")
@@ -199,7 +199,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     spread = tails.groupBy("passage").agg(F.min("lo").alias("first_doc"), F.max("hi").alias("last_doc")).where("first_doc != last_doc")
     known = tails.select("passage", "tail", "first_tail").join(spread.drop("last_doc"), "passage")
     words = F.when(F.col("first_tail") != F.col("doc_id"), F.col("reach")).otherwise(PARAGRAPH)
-    return members.join(known, ["passage", "tail"]).select("doc_id", "place", words.alias("words"), "passage", "first_doc")
+    return members.join(apart(known, "passage"), ["passage", "tail"]).select("doc_id", "place", words.alias("words"), "passage", "first_doc")
 
 
 def _covered(spans: Column) -> Column:

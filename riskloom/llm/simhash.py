@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.base import slices, stored
+from riskloom.llm.base import apart, slices, stored
 from riskloom.llm.components import components
 
 LINK_BITS = 2
@@ -87,7 +87,7 @@ def links(marks: DataFrame) -> DataFrame:
     placed = marks.select("mark", F.explode(F.array(_place(F.col("mark")))).alias("place"))
     cells = placed.select("mark", "place", F.explode(_beside(F.col("place"))).alias("cell"))
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    met = stored(cells.join(shared, "cell"), "simhash-cells")
+    met = stored(cells.join(apart(shared, "cell"), "cell"), "simhash-cells")
     few = met.where(F.col("n") <= FULL_CELL)
     a = few.select("cell", F.col("mark").alias("a"), F.col("place").alias("pa"))
     b = few.select("cell", F.col("mark").alias("b"), F.col("place").alias("pb"))
