@@ -61,7 +61,8 @@ def source_targets(rows: DataFrame) -> DataFrame:
     per = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")).collect()
     given = targets([(r["source"], r["source_size"]) for r in per])
     data = [(r["source"], r["source_size"], r["n_docs"], float(given[r["source"]])) for r in per]
-    return rows.sparkSession.createDataFrame(data, "source string, source_size long, n_docs long, target double")
+    made = rows.sparkSession.createDataFrame(data, "source string, source_size long, n_docs long, target double")
+    return stored(made.coalesce(1), "mix-sources")  # a file's size is known, so Spark broadcasts it while it is small
 
 
 def pivot(fractions: np.ndarray, sizes: np.ndarray, draws: np.ndarray) -> tuple[np.ndarray, int]:
