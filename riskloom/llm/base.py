@@ -52,7 +52,7 @@ def apart(df: DataFrame, key: str) -> DataFrame:
     A join on it then shuffles them for itself instead of taking over the partitions of the aggregate
     they come from, and only between two shuffles of its own does Spark split a hot key of the other side.
     """
-    return df.withColumn(key, F.col(key) + F.lit(0).cast("long"))
+    return df.withColumn(key, F.bitwise_not(F.bitwise_not(F.col(key))))
 
 
 def remainder(doc_id: str, modulus: int) -> Column:
