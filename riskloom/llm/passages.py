@@ -4,7 +4,8 @@ Repeated passages start anywhere, so paragraphs are not taken at line ends: a pa
 words from an anchor on, and anchors are the word pairs whose hash is the smallest of 31 pairs in a
 row. A passage of 51 words or more that two texts share therefore holds a paragraph that both have,
 wherever it stands. Paragraphs that agree in their anchor and in one of the bands' minimum hashes
-are compared; their 17 five-word shingles must reach a Jaccard similarity of 0.8.
+are compared; their 17 five-word shingles must reach a Jaccard similarity of 0.8. What is repeated
+with a paragraph on both sides, word by word, belongs to the finding.
 """
 
 from __future__ import annotations
@@ -60,6 +61,14 @@ def _least(x: np.ndarray, width: int, pick=np.minimum) -> np.ndarray:
     return pick(x[:-rest], x[rest:]) if rest else x
 
 
+def _content(h: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The hash of the paragraph from each of these words on."""
+    content = np.zeros(len(start), np.uint64)
+    for i in range(PARAGRAPH):
+        content = content * _P + h[start + i]
+    return _mixed(content)
+
+
 class _Paragraphs:
     """The paragraphs of some texts: owner, place (words before it), content hash, band keys, and where they start in the joined words."""
 
@@ -89,22 +98,10 @@ class _Paragraphs:
         self.owner = np.searchsorted(np.cumsum(sizes), s, side="right")
         self.place = s - np.concatenate(([0], np.cumsum(sizes)))[self.owner]
         if not len(s):
-            self.content = self.tail = self.reach = np.empty(0, np.uint64)
+            self.content = np.empty(0, np.uint64)
             self.keys = [np.empty(0, np.uint64)] * BANDS
             return
-        content = np.zeros(len(s), np.uint64)
-        for i in range(PARAGRAPH):
-            content = content * _P + h[s + i]
-        self.content = _mixed(content)
-        # Words between the paragraph and the next anchor of the same text, if any: they go where they, too, are repeated.
-        step = np.diff(s, append=s[-1])
-        step[:-1][np.diff(self.owner) != 0] = 0
-        self.reach = np.where((step > PARAGRAPH) & (step <= REACH), step, PARAGRAPH)
-        tail = np.zeros(len(s), np.uint64)
-        for i in range(PARAGRAPH, REACH):
-            more = self.reach > i
-            tail[more] = tail[more] * _P + h[s[more] + i]
-        self.tail = np.where(self.reach > PARAGRAPH, _mixed(tail), np.uint64(0))
+        self.content = _content(h, s)
         anchor = pairs[s]
         self.keys = [_mixed(_least(_mixed(self.shingles + np.uint64(0xA5A5 * (b + 1))), SHINGLES)[s] ^ anchor * np.uint64(2 * b + 3)) for b in range(BANDS)]
 
@@ -128,9 +125,8 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = _Paragraphs(batch.column("text").cast(pa.binary()).to_pylist(), memory)
         if len(p.start):
             ids = batch.column("doc_id").take(pa.array(p.owner))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(p.place.astype(np.int32)), pa.array(p.reach.astype(np.int32)),
-                                              _signed(p.tail), _signed(p.content), *map(_signed, p.keys)],
-                                             names=["doc_id", "place", "reach", "tail", "content", *[f"key{b}" for b in range(BANDS)]])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(p.place.astype(np.int32)), _signed(p.content), *map(_signed, p.keys)],
+                                             names=["doc_id", "place", "content", *[f"key{b}" for b in range(BANDS)]])
 
 
 def _narrow(docs: DataFrame) -> DataFrame:
@@ -138,13 +134,9 @@ def _narrow(docs: DataFrame) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """``doc_id, place, reach, tail, content, key0, key1``: every paragraph of every text.
-
-    ``reach`` is the paragraph's length, or the distance to the next anchor where that is more; ``tail``
-    the hash of the words in between.
-    """
+    """``doc_id, place, content, key0, key1``: every paragraph of every text."""
     keys = ", ".join(f"key{b} long" for b in range(BANDS))
-    return _narrow(docs).mapInArrow(_paragraphs, f"doc_id long, place int, reach int, tail long, content long, {keys}")
+    return _narrow(docs).mapInArrow(_paragraphs, f"doc_id long, place int, content long, {keys}")
 
 
 def _similar(docs: DataFrame, met: DataFrame) -> DataFrame:
@@ -178,40 +170,114 @@ def _similar(docs: DataFrame, met: DataFrame) -> DataFrame:
     return entered.join(apart(centres, "rest"), "rest").where("content != b").select(F.col("content").alias("a"), "b").distinct()
 
 
+def _windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``doc_id, place, side, key, w``: the up to `REACH` - 1 words before (side 0, nearest first) and after (side 1) each wanted paragraph, as hashes.
+
+    ``wanted`` has ``doc_id, place, content, passage``; ``key`` stands for passage and side. Hashes of 32 bits:
+    a run ends one word late once in four billion times.
+    """
+    lists = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("place", "content", "passage")).alias("wanted"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = _WordHash()
+        for batch in slices(batches, "text"):
+            words = [(t or b"").lower().split() for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            sizes = np.array([len(w) for w in words], np.int64)
+            h = np.fromiter((memory[x] for w in words for x in w), np.uint64, int(sizes.sum()))
+            asked = batch.column("wanted")
+            owner = np.repeat(np.arange(batch.num_rows), np.asarray(pa.compute.list_value_length(asked)))
+            place, content, passage = (np.asarray(asked.flatten().field(i)) for i in range(3))
+            at, starts = place.astype(np.int64), np.cumsum(sizes) - sizes
+            # Repeated rows of one doc_id may differ in text: only those that have the paragraph there are asked.
+            has = np.flatnonzero(at + PARAGRAPH <= sizes[owner])
+            has = has[_content(h, (starts[owner] + at)[has]) == content[has].view(np.uint64)]
+            at, owner, place, passage = at[has], owner[has], place[has], passage[has]
+            start = starts[owner] + at
+            ids, short = batch.column("doc_id").take(pa.array(owner)), (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            for side, room, origin, way in ((0, at, start - 1, -1), (1, sizes[owner] - at - PARAGRAPH, start + PARAGRAPH, 1)):
+                room = np.minimum(room, REACH - 1)
+                ends = np.concatenate(([0], np.cumsum(room)))
+                index = np.repeat(origin, room) + way * (np.arange(ends[-1]) - np.repeat(ends[:-1], room))
+                w = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(short[index]))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(place), pa.array(passage), pa.array(np.full(len(at), side, np.int32)), w],
+                                                 names=["doc_id", "place", "passage", "side", "w"])
+
+    texts = _narrow(docs).join(lists, "doc_id").select("doc_id", "text", "wanted")
+    found = texts.mapInArrow(run, "doc_id long, place int, passage long, side int, w array<int>")
+    return found.select("doc_id", "place", "side", F.xxhash64("passage", "side").alias("key"), "w").distinct()
+
+
+def _extents(windows: DataFrame) -> DataFrame:
+    """``doc_id, place, before, after, gone_before, gone_after``: how many words next to a paragraph are repeated with it.
+
+    ``before`` and ``after`` count what any other document of the class has beside its paragraph,
+    ``gone_...`` what a smaller doc_id has. Everyone under a key is compared with its first
+    document; those that part from it at one place with one word form the next round's key, so that
+    longer runs among them are found, too. A round adds a word at least, hence there are at most `REACH`.
+    """
+    now, told, rounds = stored(windows, "passages-windows"), [], 0
+    while True:
+        firsts = now.groupBy("key").agg(F.min_by("w", F.struct("doc_id", "place")).alias("fw"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        firsts = firsts.where("first != last").drop("last")
+        parted = F.array_position(F.zip_with("w", "fw", lambda x, y: x.eqNullSafe(y)), False)
+        met = now.join(apart(firsts, "key"), "key").withColumn("have", F.when(parted > 0, parted - 1).otherwise(F.size("w")).cast("int"))
+        met = stored(met.select("doc_id", "place", "side", "key", "first", "have", F.when(F.col("have") < F.size("w"), F.col("w")).alias("w")), f"passages-extents{rounds}")
+        others = met.where("doc_id != first")
+        best = others.groupBy("key").agg(F.max("have").alias("best")).where("best > 0")
+        told.append(others.select("doc_id", "place", "side", "have", F.col("have").alias("gone")))
+        told.append(met.where("doc_id = first").join(apart(best, "key"), "key").select("doc_id", "place", "side", F.least("have", "best").alias("have"), F.lit(0).alias("gone")))
+        now = met.where("w is not null").select("doc_id", "place", "side", F.xxhash64("key", "have", F.get("w", F.col("have"))).alias("key"), "w")
+        rounds += 1
+        if not now.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo != hi").limit(1).count():
+            break
+    every = told[0]
+    for other in told[1:]:
+        every = every.unionByName(other)
+    def most(column: str, side: int) -> Column:
+        return F.coalesce(F.max(F.when(F.col("side") == side, F.col(column))), F.lit(0))
+    return every.where("have > 0").groupBy("doc_id", "place").agg(
+        most("have", 0).alias("before"), most("have", 1).alias("after"), most("gone", 0).alias("gone_before"), most("gone", 1).alias("gone_after"))
+
+
 def repeats(docs: DataFrame) -> DataFrame:
-    """``doc_id, place, words, passage, first_doc``: every paragraph that occurs in two or more documents.
+    """``doc_id, place, words, passage, first_doc, gone``: every paragraph that occurs in two or more documents, and the run around it.
 
     ``passage`` is its class (equal or similar paragraphs, connected), ``first_doc`` the smallest
-    doc_id of the class, ``words`` how many words are repeated from ``place`` on: the paragraph's, and
-    those up to the next anchor where an earlier document of the class has the same ones. Rows without id or text have no paragraphs; texts of under 21 words neither.
+    doc_id of the class. From ``place`` on ``words`` words are repeated: the paragraph's, and those on
+    both sides that another document of the class has there. ``gone`` is the span ``(place, words)``
+    that smaller doc_ids have, null in the first document. A run of 51 words or more is the union
+    of such spans, whole: its first paragraph starts in its first 31 words, its last one ends in its last 31, and no
+    two in between are further apart. Rows without id or text have no paragraphs; texts of under 21 words neither.
     Repeated rows of one doc_id are one document, and what a document repeats in itself is no finding.
-    Only hashes are shuffled, counts of a key are summed before the shuffle and joins on keys are left
+    Only hashes are shuffled (and the texts that hold a repeated paragraph), counts of a key are summed before the shuffle and joins on keys are left
     to skew splitting, so a passage that most documents share meets in no task as a whole.
     """
     every = stored(paragraphs(docs), "passages-paragraphs")
-    keyed = every.select("doc_id", "place", "reach", "tail", "content", F.explode(F.array(*[f"key{b}" for b in range(BANDS)])).alias("key"))
+    keyed = every.select("doc_id", "place", "content", F.explode(F.array(*[f"key{b}" for b in range(BANDS)])).alias("key"))
     common = keyed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo != hi").select("key")
     met = stored(keyed.join(apart(common, "key"), "key"), "passages-met")
     linked = components(_similar(docs, met))
-    members = met.select("doc_id", "place", "reach", "tail", "content").distinct().join(linked, F.col("content") == F.col("id"), "left")
-    members = stored(members.select("doc_id", "place", "reach", "tail", F.coalesce("component", "content").alias("passage")), "passages-members")
-    tails = members.groupBy("passage", "tail").agg(F.min("doc_id").alias("first_tail"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    spread = tails.groupBy("passage").agg(F.min("lo").alias("first_doc"), F.max("hi").alias("last_doc")).where("first_doc != last_doc")
-    known = tails.select("passage", "tail", "first_tail").join(spread.drop("last_doc"), "passage")
-    words = F.when(F.col("first_tail") != F.col("doc_id"), F.col("reach")).otherwise(PARAGRAPH)
-    return members.join(apart(known, "passage"), ["passage", "tail"]).select("doc_id", "place", words.alias("words"), "passage", "first_doc")
+    members = met.select("doc_id", "place", "content").distinct().join(linked, F.col("content") == F.col("id"), "left")
+    members = stored(members.select("doc_id", "place", "content", F.coalesce("component", "content").alias("passage")), "passages-members")
+    spread = members.groupBy("passage").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc != last_doc").drop("last_doc")
+    members = stored(members.join(apart(spread, "passage"), "passage"), "passages-spread")
+    found = members.join(_extents(_windows(docs, members.select("doc_id", "place", "content", "passage"))), ["doc_id", "place"], "left")
+    before, after, gone_before, gone_after = (F.coalesce(F.col(c), F.lit(0)) for c in ("before", "after", "gone_before", "gone_after"))
+    gone = F.struct((F.col("place") - gone_before).alias("place"), (gone_before + PARAGRAPH + gone_after).alias("words"))
+    return found.select("doc_id", (F.col("place") - before).alias("place"), (before + PARAGRAPH + after).alias("words"), "passage", "first_doc",
+                        F.when(F.col("first_doc") != F.col("doc_id"), gone).alias("gone"))
 
 
 def _covered(spans: Column) -> Column:
-    """How many words lie in these spans ``(place, words)``, sorted by place."""
-    def own(span, i):
-        return F.least(span["words"], F.coalesce(F.get(spans, i + 1)["place"] - span["place"], span["words"]))
-    return F.aggregate(F.transform(spans, own), F.lit(0), lambda total, n: total + n).cast("long")
+    """How many words lie in these spans ``(place, words)``, sorted by place; they may overlap."""
+    def add(state, span):
+        end = span["place"] + span["words"]
+        return F.struct((state["n"] + F.greatest(F.lit(0), end - F.greatest(span["place"], state["end"]))).alias("n"), F.greatest(state["end"], end).alias("end"))
+    return F.aggregate(spans, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")), add)["n"].cast("long")
 
 
-def _spans(only: Column | None = None) -> Column:
-    span = F.struct("place", "words")
-    return F.sort_array(F.collect_set(span if only is None else F.when(only, span)))
+def _spans(span: Column | None = None) -> Column:
+    return F.sort_array(F.collect_set(F.struct("place", "words") if span is None else span))
 
 
 def documents_with_repeats(docs: DataFrame) -> DataFrame:
@@ -221,9 +287,8 @@ def documents_with_repeats(docs: DataFrame) -> DataFrame:
     this one; the lists are bounded by the document's own length. Documents that share nothing have no row.
     """
     found = repeats(docs)
-    gone = F.col("first_doc") != F.col("doc_id")
     per = found.groupBy("doc_id").agg(
-        F.count_distinct("passage").alias("n_passages"), _spans().alias("spans"), _spans(gone).alias("gone"), F.sort_array(F.collect_set("first_doc")).alias("first_docs"))
+        F.count_distinct("passage").alias("n_passages"), _spans().alias("spans"), _spans(F.col("gone")).alias("gone"), F.sort_array(F.collect_set("first_doc")).alias("first_docs"))
     removed = F.when(F.size("gone") > 0, _covered(F.col("gone"))).otherwise(0)
     return per.select("doc_id", "n_passages", _covered(F.col("spans")).alias("repeated_words"), removed.cast("long").alias("removed_words"),
                       "first_docs", (F.size("gone") > 0).alias("removed"))
@@ -254,7 +319,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Texts that lose nothing are untouched, and so are rows without id or text. ``n_chars``, if there
     is one, follows the text.
     """
-    lists = repeats(docs).where("first_doc != doc_id").groupBy("doc_id").agg(_spans().alias("spans"))
+    lists = repeats(docs).where("first_doc != doc_id").groupBy("doc_id").agg(_spans(F.col("gone")).alias("spans"))
     rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id")).join(lists, "doc_id", "left")
     text = F.col("row")["text"]
     changed = F.col("spans").isNotNull() & text.isNotNull()

@@ -103,6 +103,29 @@ def test_every_long_shared_run_is_found(spark):
     assert found == set(range(80))
 
 
+def test_long_shared_runs_go_whole(spark):
+    rows, want = [], {}
+    for i, size in enumerate([51, 52, 55, 60, 60, 75, 99, 100]):
+        run = " ".join(f"w{i}x{j}" for j in range(size))
+        rows += [(2 * i, prose(300 + i, 7 * i) + " " + run + " " + prose(400 + i, 30), "en", "s"), (2 * i + 1, prose(500 + i, 45) + "\n" + run + " " + prose(600 + i, i), "en", "s")]
+        want |= {2 * i: (size, 0), 2 * i + 1: (size, size)}
+    # A third document shares the middle only: the later two still share all of it.
+    run = [f"y{j}" for j in range(70)]
+    rows += [(50, prose(700, 40) + " " + " ".join(run[20:60]) + " " + prose(701, 40), "en", "s")]
+    rows += [(51 + i, prose(702 + i, 40) + " " + " ".join(run) + " " + prose(704 + i, 40), "en", "s") for i in range(2)]
+    docs = frame(spark, rows)
+    found = {r.doc_id: (r.repeated_words, r.removed_words) for r in passages.documents_with_repeats(docs).collect()}
+    assert {k: found[k] for k in want} == want
+    texts = {r.doc_id: r.text for r in passages.without_repeats(docs).collect()}
+    given = {r[0]: r[1] for r in rows}
+    for i in range(8):
+        assert texts[2 * i] == given[2 * i]
+        assert texts[2 * i + 1].split() == [w for w in given[2 * i + 1].split() if not w.startswith(f"w{i}x")]
+    if 50 in found:
+        assert texts[50] == given[50]
+    assert found[52] == (70, 70) and not any(w in texts[52].split() for w in run)
+
+
 def test_similar_paragraphs_link_at_the_threshold(spark):
     words = prose(7, 200).split()
     docs = [(0, " ".join(words), "en", "s"), (1, " ".join(words), "en", "s")]
