@@ -78,7 +78,7 @@ class _Paragraphs:
         h = np.fromiter((memory[x] for w in words for x in w), np.uint64, int(sizes.sum()))
         self.shingles = np.empty(0, np.uint64)
         n = len(h)
-        if n < PARAGRAPH + REACH:
+        if n <= REACH:  # of the whole slice; what one text must have is checked below
             self.start = np.empty(0, np.int64)
         else:
             ends = np.cumsum(sizes)

@@ -126,6 +126,15 @@ def test_long_shared_runs_go_whole(spark):
     assert found[52] == (70, 70) and not any(w in texts[52].split() for w in run)
 
 
+def test_short_documents_alone_in_their_partitions(spark):
+    for size in (32, 40, 51):
+        text = prose(800 + size, size)
+        apart = frame(spark, [(0, text, "en", "s")]).union(frame(spark, [(1, text, "en", "s")]))
+        together = passages.documents_with_repeats(apart.coalesce(1)).collect()
+        assert sorted(passages.documents_with_repeats(apart).collect()) == sorted(together)
+        assert len(together) == 2 or size < 51
+
+
 def test_similar_paragraphs_link_at_the_threshold(spark):
     words = prose(7, 200).split()
     docs = [(0, " ".join(words), "en", "s"), (1, " ".join(words), "en", "s")]
