@@ -2,30 +2,35 @@
 
 Counting reads the whole training corpus: n-grams of letters per language, summed first in the
 worker and then by shuffle. Every lower order comes from the distinct n-grams of the order above
-(continuation counts). The models are stored as sorted arrays of n-gram hashes beside a matrix of
-log probabilities, one column per language; scoring is a binary search per character. The language
+(continuation counts), by aggregations and joins over the whole table of n-grams. The models are
+files in the shared folder, sorted arrays of n-gram hashes beside a matrix of log probabilities, one
+column per language, which tasks map into memory; scoring is a binary search per character. The language
 with the lowest cross-entropy per character wins; a text that even its best model finds less likely
 than held-back training texts is rejected.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from riskloom.llm.base import remainder, slices, stored, unwrapped, whole_row
+from riskloom.sources.scratch import new_folder
 
 ORDER = 4
-#: Capacity of a model: n-grams kept per language, the most frequent ones.
-CAPACITY = 200_000
+#: About as many n-grams are sorted and written by one task; a larger model is more files.
+FILE_ROWS = 2_000_000
 UNDETERMINED = "und"
 #: One training document in this many calibrates and is not counted.
 HELD_BACK = 32
@@ -131,17 +136,33 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return narrow.mapInArrow(_count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def most_frequent(counts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The n-grams of each language from some frequency on, at most ``capacity`` of them.
+@lru_cache(maxsize=None)
+def _mapped(path: str) -> np.ndarray:
+    return np.load(path, mmap_mode="r")
 
-    The frequency comes from a histogram of at most a few hundred steps per language, so that
-    nothing is sorted; n-grams of one step stay or go together.
-    """
-    step = F.floor(8 * F.log2("n"))
-    steps = counts.groupBy("lang", step.alias("step")).agg(F.count("*").alias("k"))
-    above = F.sum("k").over(Window.partitionBy("lang").orderBy(F.desc("step")))
-    lowest = steps.withColumn("above", above).where(F.col("above") <= capacity).groupBy("lang").agg(F.min("step").alias("lowest"))
-    return counts.join(F.broadcast(lowest), "lang").where(step >= F.col("lowest")).drop("lowest")
+
+@dataclass
+class Table:
+    """Sorted hashes and their values: a file of each for every value of the first ``bits`` bits of the hash that occurs."""
+
+    bits: int
+    files: dict[int, str]
+
+    def values(self, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``marks`` are there, and the values of those."""
+        part = marks >> np.uint64(64 - self.bits) if self.bits else np.zeros(len(marks), np.uint64)
+        found, pieces, places = np.zeros(len(marks), bool), [], []
+        for number in np.unique(part).tolist():
+            if number in self.files:
+                mine = np.flatnonzero(part == number)
+                keys, values = (_mapped(f"{self.files[number]}-{x}.npy") for x in ("keys", "values"))
+                at, there = Models._find(keys, marks[mine])
+                found[mine[there]] = True
+                pieces.append(values[at[there]])
+                places.append(mine[there])
+        if len(pieces) < 2:
+            return (pieces[0] if pieces else np.empty((0, 1), np.float32)), found
+        return np.concatenate(pieces)[np.argsort(np.concatenate(places))], found
 
 
 @dataclass
@@ -150,13 +171,13 @@ class Models:
 
     ``grams[k]``: sorted hashes of the (k+1)-grams of any language and their log probabilities
     (row: n-gram, column: language); ``backs[k]``: the same for contexts of k+1 letters and the log
-    weight of backing off from them. ``limits``: per language the cross-entropy above which a text
+    weight of backing off from them; either two arrays or files. ``limits``: per language the cross-entropy above which a text
     is rejected. ``temperature`` turns differences of cross-entropy into probabilities.
     """
 
     languages: list[str]
-    grams: list[tuple[np.ndarray, np.ndarray]]
-    backs: list[tuple[np.ndarray, np.ndarray]]
+    grams: list[tuple[np.ndarray, np.ndarray] | Table]
+    backs: list[tuple[np.ndarray, np.ndarray] | Table]
     floor: float
     limits: np.ndarray
     temperature: float = 1.0
@@ -166,6 +187,13 @@ class Models:
         at = np.minimum(np.searchsorted(keys, marks), max(len(keys) - 1, 0))
         return at, keys[at] == marks if len(keys) else np.zeros(len(marks), bool)
 
+    @staticmethod
+    def _values(table: tuple[np.ndarray, np.ndarray] | Table, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if isinstance(table, Table):
+            return table.values(marks)
+        at, found = Models._find(table[0], marks)
+        return table[1][at[found]], found
+
     def logs(self, codes: np.ndarray) -> np.ndarray:
         """Log probability of every letter after the first ``ORDER - 1``, a column per language."""
         n = ORDER
@@ -176,13 +204,12 @@ class Models:
             if not len(todo):
                 break
             marks = hashes(codes[n - k:], k)[todo]
-            keys, values = self.grams[k - 1]
-            at, found = self._find(keys, marks)
-            out[todo[found]] += values[at[found]]
+            values, found = self._values(self.grams[k - 1], marks)
+            out[todo[found]] += values
             todo = todo[~found]
             if k > 1 and len(todo):
-                at, seen = self._find(self.backs[k - 2][0], hashes(codes[n - k:-1], k - 1)[todo])
-                out[todo[seen]] += self.backs[k - 2][1][at[seen]]
+                values, seen = self._values(self.backs[k - 2], hashes(codes[n - k:-1], k - 1)[todo])
+                out[todo[seen]] += values
         out[todo] += self.floor
         return out
 
@@ -225,7 +252,8 @@ def kneser_ney(table: pd.DataFrame) -> Models:
     """Models from ``lang, gram, n``: the top order by counts, lower orders by how many letters go before.
 
     At each order the discount is n1 / (n1 + 2 n2); what it takes goes to the order below, and below
-    single letters to a uniform share over the alphabet and one unknown letter.
+    single letters to a uniform share over the alphabet and one unknown letter. This is the form for
+    tables that fit in memory; `fitted` is the same over any table.
     """
     languages = sorted(table["lang"].unique())
     alphabet = len({c for g in table["gram"] for c in g}) + 1
@@ -283,6 +311,76 @@ def kneser_ney(table: pd.DataFrame) -> Models:
                   float(np.log(np.nanmean(base))) if width else floor, np.full(width, -floor))
 
 
+def _on_file(rows: DataFrame, gram: str, n: int, values: Column) -> Table:
+    """``gram`` (of ``n`` letters each) and the logarithm of ``values array<double>`` as files of sorted hashes."""
+    rows = stored(rows.select(F.col(gram).alias("gram"), values.alias("v")), "language-values")
+    bits = max(0, int(np.ceil(np.log2(max(1, rows.count()) / FILE_ROWS))))
+    folder = new_folder(rows.sparkSession, "language-model").removeprefix("file://").removeprefix("file:")
+    if "://" in folder:
+        raise RuntimeError("the shared folder must be a path that tasks can open")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = np.frombuffer("".join(batch.column("gram").to_pylist()).encode("utf-32-le"), np.uint32)
+            keys = hashes(codes, n)[::n]
+            part = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(keys.view(np.int64)), batch.column("v")], names=["part", "key", "v"])
+
+    def write(held: pa.Table) -> pa.Table:
+        os.makedirs(folder, exist_ok=True)
+        held = held.combine_chunks()
+        keys = held.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in held.column("v").chunks])
+        # A name of its own for each attempt: only the one that ends well is told.
+        name = f"{folder}/{uuid.uuid4().hex}"
+        np.save(f"{name}-keys.npy", keys[order])
+        np.save(f"{name}-values.npy", np.log(flat.reshape(len(keys), -1))[order].astype(np.float32))
+        return pa.table({"part": held.column("part")[:1], "name": pa.array([name])})
+
+    made = rows.mapInArrow(hashed, "part int, key long, v array<double>").groupBy("part").applyInArrow(write, "part int, name string")
+    return Table(bits, {r["part"]: r["name"] for r in made.collect()})
+
+
+def fitted(counts: DataFrame) -> Models:
+    """`kneser_ney` of the whole table ``lang, gram, n``, by aggregations and joins; the driver holds discounts and file names.
+
+    A row is an n-gram with a count per language (null: the language lacks it). Its probability is
+    (count - discount) / total of its context, if there is a count, and the context's back-off weight times
+    the probability one order below, so languages without the n-gram have their back-off value in it.
+    """
+    languages = [r[0] for r in counts.select("lang").distinct().orderBy("lang").collect()]
+    width = range(len(languages))
+    if not languages:
+        return kneser_ney(pd.DataFrame({"lang": [], "gram": [], "n": []}))
+    letters_ = counts.select(F.explode(F.array(*[F.substring("gram", i + 1, 1) for i in range(ORDER)])).alias("c"))
+    alphabet = letters_.distinct().count() + 1
+    levels = [stored(counts.groupBy("gram").agg(*[F.max(F.when(F.col("lang") == name, F.col("n").cast("double"))).alias(f"n{j}") for j, name in enumerate(languages)]), "language-level")]
+    for k in range(ORDER - 1, 0, -1):
+        kinds = [F.nullif(F.count(f"n{j}"), F.lit(0)).cast("double").alias(f"n{j}") for j in width]
+        levels.append(stored(levels[-1].groupBy(F.substring("gram", 2, k).alias("gram")).agg(*kinds), "language-level"))
+    grams, backs, below = [], [], None
+    for k, level in enumerate(levels[::-1], 1):
+        seen = level.agg(*[F.count_if(F.col(f"n{j}") == c).alias(f"{c}_{j}") for j in width for c in (1, 2)]).first()
+        discounts = [min(0.95, max(0.1, seen[f"1_{j}"] / (seen[f"1_{j}"] + 2 * seen[f"2_{j}"]))) if seen[f"1_{j}"] + seen[f"2_{j}"] else 0.5 for j in width]
+        sums = level.groupBy(F.substring("gram", 1, k - 1).alias("context")).agg(
+            F.array(*[F.sum(f"n{j}") for j in width]).alias("total"),
+            F.array(*[F.coalesce(F.lit(discounts[j]) * F.count(f"n{j}") / F.sum(f"n{j}"), F.lit(1.0)) for j in width]).alias("weight"))
+        sums = stored(sums, "language-contexts")
+        own = F.array(*[F.coalesce((F.col(f"n{j}") - discounts[j]) / F.col("total")[j], F.lit(0.0)) + F.col("weight")[j] * F.col("lower")[j] for j in width])
+        rows = level.withColumn("context", F.substring("gram", 1, k - 1)).join(sums, "context")
+        if below is None:
+            base = np.array(sums.first()["weight"]) / alphabet
+            rows = rows.withColumn("lower", F.array(*[F.lit(1 / alphabet)] * len(languages)))
+        else:
+            backs.append(_on_file(sums, "context", k - 1, F.col("weight")))
+            rows = rows.withColumn("suffix", F.substring("gram", 2, k - 1)).join(below, "suffix")
+        rows = stored(rows.select("gram", own.alias("p")), "language-order")
+        grams.append(_on_file(rows, "gram", k, F.col("p")))
+        below = rows.select(F.col("gram").alias("suffix"), F.col("p").alias("lower"))
+    return Models(languages, grams, backs, float(np.log(base.mean())), np.full(len(languages), np.log(max(alphabet, 2))))
+
+
 def _entropy_batches(models: Models):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1_000_000):
@@ -319,13 +417,12 @@ def train(docs: DataFrame) -> Models:
     rejection limit lies above the median cross-entropy of its own texts by four times the distance
     to their 99th percentile, at least by `MARGIN` (short texts vary), and never above the
     entropy of letters drawn at random; the temperature is the one of `TEMPERATURES` under which the held-back
-    languages are likeliest. What reaches the driver is bounded by `CAPACITY` n-grams per
-    language, whatever the corpus. Without any training rows there are no languages.
+    languages are likeliest. All n-grams count, and none reaches the driver. Without any training rows there are no languages.
     """
     known = docs.where("lang is not null and text is not null").select("lang", "text")
     held = F.pmod(F.xxhash64("text"), F.lit(HELD_BACK)) == 0
     counts = stored(gram_counts(known.where(~held)), "language-grams")
-    models = kneser_ney(most_frequent(counts).toPandas())
+    models = fitted(counts)
     if not models.languages:
         return models
     scored = cross_entropies(known.where(held), models, ("lang",)).where("h is not null")

@@ -56,6 +56,29 @@ def test_kneser_ney_against_the_recursion():
         assert sum(p(context + c) for c in letters | {"\0"}) == pytest.approx(1)
 
 
+def test_fitted_is_kneser_ney(spark, monkeypatch):
+    monkeypatch.setattr(language, "FILE_ROWS", 40)
+    texts = {"xx": " abra cadabra abra bra " + prose(1, 40), "yy": " lorem ipsum dolor sit abra ", "zz": " \u4e2d\u6587\U00020000 \u5b57 abra "}
+    rows = [(lang, t[i:i + 4]) for lang, t in texts.items() for i in range(len(t) - 3)]
+    counts = pd.DataFrame(rows, columns=["lang", "gram"]).groupby(["lang", "gram"]).size().reset_index(name="n")
+    plain, got = language.kneser_ney(counts), language.fitted(spark.createDataFrame(counts))
+    assert got.languages == plain.languages and got.floor == pytest.approx(plain.floor) and got.limits == pytest.approx(plain.limits)
+    assert got.grams[3].bits > 0
+    for text in (*texts.values(), " dolorem abracadabra \u6587\u5b57 \u0416 "):
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        assert got.logs(codes) == pytest.approx(plain.logs(codes), abs=1e-4)
+
+
+def test_large_alphabets_keep_their_rare_grams(spark):
+    draw = np.random.default_rng(5)
+    texts = ["".join(map(chr, 0x4E00 + draw.integers(0, 2000, 4000))) for _ in range(75)]
+    docs = frame(spark, [(i, t, "zh", "s") for i, t in enumerate(texts)] + [(100 + i, prose(i, 50), "en", "s") for i in range(40)])
+    models = language.train(docs)
+    assert models.languages == ["en", "zh"]
+    got = {r.doc_id: r.lang_pred for r in language.identified(docs, models).collect()}
+    assert {got[i] for i in range(75)} == {"zh"} and {got[100 + i] for i in range(40)} == {"en"}
+
+
 def test_segments_meet_every_gram_once(monkeypatch):
     text = prose(3, 300) + " 12 #! " + prose(4, 50)
     whole = language.letters(text)
