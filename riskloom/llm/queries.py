@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.catalog import Query
-from riskloom.llm import attention, bpe, graph_search, language, mixing, passages, quality_rules, reputation, simhash, warc
+from riskloom.llm import attention, bpe, filter_audit, graph_search, language, mixing, passages, quality_rules, reputation, simhash, vector_codes, vector_duplicates, warc
 from riskloom.llm.base import remainder, table
 
 #: The vocabulary file of op9; a parameter of the operator, never part of this repository.
@@ -157,6 +157,96 @@ SELECT page_id, host, path, rule,
 FROM ruled JOIN v USING (host)
 """
 
+def op11_vector_codes(spark: SparkSession, d: str) -> DataFrame:
+    return vector_codes.coded(table(spark, d, "embeddings"))
+
+
+def _op11_sql() -> str:
+    """The rounds one after another: every part against every entry, in long form (vector, part, position)."""
+    def assigned(book: str, more: str = "") -> str:
+        return f"""
+  SELECT rid, part, arg_min(entry, far * 1000 + entry) AS entry{more} FROM (
+    SELECT rid, part, entry, sum((x.v - b.v) * (x.v - b.v)) AS far FROM x JOIN {book} b USING (part, pos) GROUP BY ALL) GROUP BY ALL"""
+
+    ctes = """
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+x AS MATERIALIZED (
+  SELECT rid, (i - 1) // (n // 4) AS part, (i - 1) % (n // 4) AS pos, floor(1024e0 * v)::BIGINT AS v
+  FROM (SELECT rid, len(embedding) AS n, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM k)),
+b0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, pos, v FROM x WHERE rid <= 256)"""
+    for i in range(vector_codes.ROUNDS):
+        ctes += f""",
+a{i} AS MATERIALIZED ({assigned(f"b{i}")}),
+m{i} AS (SELECT part, entry, pos, floor(sum(v)::DOUBLE / count(*))::BIGINT AS v FROM x JOIN a{i} USING (rid, part) GROUP BY ALL),
+b{i + 1} AS MATERIALIZED (SELECT part, entry, pos, coalesce(m{i}.v, b{i}.v) AS v FROM b{i} LEFT JOIN m{i} USING (part, entry, pos))"""
+    last = f"b{vector_codes.ROUNDS}"
+    return ctes + f""",
+final AS MATERIALIZED ({assigned(last, ", min(far) AS far")}),
+coded AS (SELECT rid, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, sum(far)::BIGINT AS error FROM final GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, pos)) FROM {last}) AS codebooks_sha256
+FROM k JOIN coded USING (rid)
+"""
+
+
+def op12_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    return filter_audit.audit(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+OP12_SQL = r"""
+WITH read AS MATERIALIZED (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+first AS (SELECT t, min(doc_id) AS first FROM read GROUP BY t),
+known AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+bits AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+         + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(read.doc_id > first, false)::INT AS cell
+  FROM read JOIN first USING (t) LEFT JOIN known USING (doc_id)),
+cells AS (SELECT part, cell, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM bits GROUP BY ALL),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) t(name, bit)),
+orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS o
+  FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+steps AS (SELECT filter_order, step, o[step] AS bit, coalesce(list_sum(o[:step - 1]), 0)::INT AS before FROM orders, range(1, 6) r(step)),
+counted AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (cell & (before | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (cell & before = 0 AND cell & bit > 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (cell & before > 0 AND cell & bit > 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (cell = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (cell & before = 0 AND cell & bit > 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (cell & before = 0 AND cell & bit > 0), 0)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM counted
+"""
+
+
+def op13_vector_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return vector_duplicates.near_duplicates(table(spark, d, "embeddings"))
+
+
+OP13_SQL = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+links AS (SELECT a AS vec_id, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least USING (vec_id) LEFT JOIN links USING (vec_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": Query(op1_simhash),
     "op2_quality_rules": Query(op2_quality_rules, OP2_SQL),
@@ -168,4 +258,7 @@ QUERIES: dict[str, Query] = {
     "op8_graph_search": Query(op8_graph_search),
     "op9_bpe": Query(op9_bpe),
     "op10_url_filters": Query(op10_url_filters, OP10_SQL),
+    "op11_vector_codes": Query(op11_vector_codes, _op11_sql()),
+    "op12_filter_audit": Query(op12_filter_audit, OP12_SQL),
+    "op13_vector_duplicates": Query(op13_vector_duplicates, OP13_SQL),
 }
