@@ -75,9 +75,10 @@ def _by_dim(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
 def _leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the sample: greedily the vector that has most others of its label within half the linking angle, until too few are left."""
     reach = math.cos(math.acos(COSINE) / 2 - _MARGIN)
-    table = pa.Table.from_batches(list(batches))
-    if not table.num_rows:
+    some = [b for b in batches if b.num_rows]
+    if not some:
         return
+    table = pa.Table.from_batches(some)
     dims, labels = np.asarray(table.column("dim")), np.array(table.column("label").to_pylist(), dtype=object)
     for dim in np.unique(dims).tolist():
         which = np.flatnonzero(dims == dim)
