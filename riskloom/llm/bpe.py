@@ -27,8 +27,8 @@ from riskloom.llm.base import slices
 
 #: How byte-level tokenizers cut a text before merging (fixed value of the vocabulary's format).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Pieces, and pairs of tokens, remembered by one worker; when full, the memory starts anew. Results do not depend on it.
-REMEMBERED = 120_000
+#: Pieces, and pairs of tokens, that a worker remembers in each of two generations. Results do not depend on it.
+REMEMBERED = 200_000
 LONG_PIECE = 200
 
 
@@ -47,6 +47,30 @@ def _tokens(spec: dict) -> tuple[dict[str, bytes], dict[bytes, int], dict[str, i
     return raw, ids, {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
 
 
+class Recalled(dict):
+    """What ``find`` says of a key, remembered in two generations.
+
+    A full young generation becomes the old one, whose keys return to the young when they are asked
+    for again: what recurs stays, and at most twice ``limit`` keys are held. Keys that do not fit are never kept.
+    """
+
+    def __init__(self, find, limit: int, fits=lambda key: True) -> None:
+        super().__init__()
+        self.find, self.limit, self.fits, self.old = find, limit, fits, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.find(key)
+            if not self.fits(key):
+                return value
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Offsets:
     """The decoder: the bytes of all tokens in one string, and where those of each id begin and end."""
 
@@ -83,12 +107,17 @@ class Vocabulary:
             if pair[0] + pair[1] not in self.halves:
                 self.halves[pair[0] + pair[1]], self.age[pair[0] + pair[1]] = pair, r
         self.usable = {t for t in self.ids if len(t) == 1 or t in self.halves and self.together(*self.halves[t], whole=True)}
+        # From here on tokens are ids: bytes, length and longest usable prefix (-1: none) by id.
+        size = max(self.ids.values(), default=-1) + 1
+        self.token, self.length, self.shorter = [b""] * size, [0] * size, [-1] * size
         self.automaton = ahocorasick.Automaton()
-        for token in self.usable:
-            self.automaton.add_word(token.decode("latin-1"), (token, len(token) - 1))
+        for t in self.usable:
+            i = self.ids[t]
+            self.token[i], self.length[i] = t, len(t)
+            self.shorter[i] = next((self.ids[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in self.usable), -1)
+            self.automaton.add_word(t.decode("latin-1"), (i, len(t) - 1))
         self.automaton.make_automaton()
-        self.shorter = {t: next((t[:n] for n in range(len(t) - 1, 0, -1) if t[:n] in self.usable), None) for t in self.usable}
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.pairs = Recalled(self._pair, REMEMBERED)
         self.split_special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
 
     def together(self, a: bytes, b: bytes, whole: bool = False) -> bool:
@@ -116,17 +145,12 @@ class Vocabulary:
                 # Of equal merges the left one happens first.
                 limit, b = old(b) + 1, self.halves[b][0]
 
-    def compatible(self, a: bytes, b: bytes) -> bool:
-        found = self.pairs.get((a, b))
-        if found is None:
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
-            found = self.pairs[a, b] = self.together(a, b)
-        return found
-
-    def _longest(self, piece: bytes) -> list[bytes | None]:
-        """The longest token that starts at each byte, from one pass of the automaton."""
-        best: list[bytes | None] = [None] * len(piece)
+    def _pair(self, pair: int) -> bool:
+        return self.together(self.token[pair >> 32], self.token[pair & 0xFFFFFFFF])
+
+    def _longest(self, piece: bytes) -> list[int]:
+        """The longest token that starts at each byte (-1: none), from one pass of the automaton."""
+        best = [-1] * len(piece)
         for end, (token, before) in self.automaton.iter(piece.decode("latin-1")):
             best[end - before] = token  # ends rise, so the last token from a start is the longest
         return best
@@ -134,26 +158,26 @@ class Vocabulary:
     def encode_piece(self, piece: bytes) -> list[int]:
         if piece in self.usable:
             return [self.ids[piece]]
-        longest, tokens, place, stop, pairs = self._longest(piece), [], 0, len(piece), self.pairs
+        longest, tokens, place, stop = self._longest(piece), [], 0, len(piece)
+        length, shorter, pairs = self.length, self.shorter, self.pairs
         failed = bytearray(stop + 1)
         token = longest[0]
         while place < stop:
-            if token is not None and not failed[place + len(token)] and (
-                    not tokens or (pairs[pair] if (pair := (tokens[-1], token)) in pairs else self.compatible(*pair))):
+            if token >= 0 and not failed[place + length[token]] and (not tokens or pairs[tokens[-1] << 32 | token]):
                 tokens.append(token)
-                place += len(token)
-                token = longest[place] if place < stop else None
-            elif token is not None and self.shorter[token] is not None:
-                token = self.shorter[token]
+                place += length[token]
+                token = longest[place] if place < stop else -1
+            elif token >= 0 and shorter[token] >= 0:
+                token = shorter[token]
             elif tokens:
                 failed[place] = 1
                 token = tokens.pop()
-                place -= len(token)
+                place -= length[token]
             else:
                 raise ValueError("the vocabulary does not cover all bytes")
-        return [self.ids[t] for t in tokens]
+        return tokens
 
-    def encode(self, text: str, memory: dict[str, list[int]]) -> list[int]:
+    def encode(self, text: str, memory: _Memory) -> list[int]:
         if self.split_special is None:
             parts = [text]
         else:
@@ -167,20 +191,11 @@ class Vocabulary:
         return out
 
 
-class _Memory(dict):
-    """Piece to ids; forgets everything when full. Very long pieces are encoded each time."""
+class _Memory(Recalled):
+    """Piece to ids. Very long pieces are encoded each time."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.vocabulary.encode_piece(piece.encode())
-        if len(piece) <= LONG_PIECE:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = ids
-        return ids
+        super().__init__(lambda piece: vocabulary.encode_piece(piece.encode()), REMEMBERED, lambda piece: len(piece) <= LONG_PIECE)
 
 
 @lru_cache(maxsize=1)
