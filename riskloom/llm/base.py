@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.sources.scratch import new_folder
+from riskloom.sources.tables import remove
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,6 +32,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discarded(*tables: DataFrame) -> None:
+    """Delete tables made by `stored` that nothing reads any more: whoever needed them has been stored itself."""
+    for df in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            remove(df.sparkSession, folder)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often the body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

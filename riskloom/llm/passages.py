@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from riskloom.llm.base import apart, slices, stored, whole_row
+from riskloom.llm.base import apart, discarded, slices, stored, whole_row
 from riskloom.llm.components import components
 
 PARAGRAPH, REACH, SHINGLE = 21, 31, 5
@@ -170,72 +170,147 @@ def _similar(docs: DataFrame, met: DataFrame) -> DataFrame:
     return entered.join(apart(centres, "rest"), "rest").where("content != b").select(F.col("content").alias("a"), "b").distinct()
 
 
+class _Runs:
+    """Hashes of any runs of words of some texts, by differences of one running sum."""
+
+    def __init__(self, h: np.ndarray) -> None:
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * _powers(_P, len(h)), dtype=np.uint64)))
+        self.back = _powers(np.uint64(pow(int(_P), -1, 2 ** 64)), len(h) + 1)
+
+    def __call__(self, start: np.ndarray, words: np.ndarray, key: np.ndarray) -> np.ndarray:
+        run = (self.sums[start + words] - self.sums[start]) * self.back[start]
+        return _mixed((run + key) ^ (words.astype(np.uint64) * _P2))
+
+
+def _powers(base: np.uint64, count: int) -> np.ndarray:
+    x = np.full(count, base, np.uint64)
+    x[:1] = 1
+    return np.cumprod(x, dtype=np.uint64)
+
+
+def _beside(run: _Runs, start: np.ndarray, side: np.ndarray, passage: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hash of the ``words`` nearest words before (side 0) or after (side 1) the paragraph that starts at ``start``, in its class."""
+    key = _mixed(passage.view(np.uint64) * np.uint64(2) + side.astype(np.uint64))
+    return run(np.where(side == 0, start - words, start + PARAGRAPH), words, key)
+
+
+def _hashed(batch: pa.RecordBatch, memory: _WordHash) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of texts and what is wanted of them (a list of structs each): word hashes, words per text, owner of each wish, and the wishes' fields."""
+    words = [(t or b"").lower().split() for t in batch.column("text").cast(pa.binary()).to_pylist()]
+    sizes = np.array([len(w) for w in words], np.int64)
+    h = np.fromiter((memory[x] for w in words for x in w), np.uint64, int(sizes.sum()))
+    asked = batch.column("wanted")
+    flat = asked.flatten()
+    fields = [np.asarray(flat.field(i)) for i in range(flat.type.num_fields)]
+    return h, sizes, np.repeat(np.arange(batch.num_rows), np.asarray(pa.compute.list_value_length(asked))), fields
+
+
+def _wishes(docs: DataFrame, wanted: DataFrame, *fields: str) -> DataFrame:
+    """The texts that something is wanted of, with the list of it; a list is bounded by the text's own length."""
+    lists = wanted.groupBy("doc_id").agg(F.collect_set(F.struct(*fields)).alias("wanted"))
+    return _narrow(docs).join(lists, "doc_id").select("doc_id", "text", "wanted")
+
+
 def _windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc_id, place, side, key, w``: the up to `REACH` - 1 words before (side 0, nearest first) and after (side 1) each wanted paragraph, as hashes.
+    """``doc_id, place, side, passage, size, whole``: the up to `REACH` - 1 words before (side 0) and after (side 1) each wanted paragraph.
 
-    ``wanted`` has ``doc_id, place, content, passage``; ``key`` stands for passage and side. Hashes of 32 bits:
-    a run ends one word late once in four billion times.
+    ``wanted`` has ``doc_id, place, content, passage``. ``size`` words are there, and ``whole`` is their hash: equal in one
+    class and side where the words are.
     """
-    lists = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("place", "content", "passage")).alias("wanted"))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _WordHash()
         for batch in slices(batches, "text"):
-            words = [(t or b"").lower().split() for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            sizes = np.array([len(w) for w in words], np.int64)
-            h = np.fromiter((memory[x] for w in words for x in w), np.uint64, int(sizes.sum()))
-            asked = batch.column("wanted")
-            owner = np.repeat(np.arange(batch.num_rows), np.asarray(pa.compute.list_value_length(asked)))
-            place, content, passage = (np.asarray(asked.flatten().field(i)) for i in range(3))
-            at, starts = place.astype(np.int64), np.cumsum(sizes) - sizes
+            h, sizes, owner, (place, content, passage) = _hashed(batch, memory)
+            at, starts, runs = place.astype(np.int64), np.cumsum(sizes) - sizes, _Runs(h)
             # Repeated rows of one doc_id may differ in text: only those that have the paragraph there are asked.
             has = np.flatnonzero(at + PARAGRAPH <= sizes[owner])
             has = has[_content(h, (starts[owner] + at)[has]) == content[has].view(np.uint64)]
-            at, owner, place, passage = at[has], owner[has], place[has], passage[has]
-            start = starts[owner] + at
-            ids, short = batch.column("doc_id").take(pa.array(owner)), (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            for side, room, origin, way in ((0, at, start - 1, -1), (1, sizes[owner] - at - PARAGRAPH, start + PARAGRAPH, 1)):
-                room = np.minimum(room, REACH - 1)
-                ends = np.concatenate(([0], np.cumsum(room)))
-                index = np.repeat(origin, room) + way * (np.arange(ends[-1]) - np.repeat(ends[:-1], room))
-                w = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(short[index]))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(place), pa.array(passage), pa.array(np.full(len(at), side, np.int32)), w],
-                                                 names=["doc_id", "place", "passage", "side", "w"])
+            at, owner, passage = at[has], owner[has], passage[has]
+            for side, room in ((0, at), (1, sizes[owner] - at - PARAGRAPH)):
+                some = np.flatnonzero(room)
+                size, sides = np.minimum(room[some], REACH - 1), np.full(len(some), side, np.int32)
+                whole = _beside(runs, (starts[owner] + at)[some], sides, passage[some], size)
+                ids = batch.column("doc_id").take(pa.array(owner[some]))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(at[some].astype(np.int32)), pa.array(sides), pa.array(passage[some]), pa.array(size.astype(np.int32)), _signed(whole)],
+                                                 names=["doc_id", "place", "side", "passage", "size", "whole"])
 
-    texts = _narrow(docs).join(lists, "doc_id").select("doc_id", "text", "wanted")
-    found = texts.mapInArrow(run, "doc_id long, place int, passage long, side int, w array<int>")
-    return found.select("doc_id", "place", "side", F.xxhash64("passage", "side").alias("key"), "w").distinct()
+    return _wishes(docs, wanted, "place", "content", "passage").mapInArrow(run, "doc_id long, place int, side int, passage long, size int, whole long")
+
+
+def _prefixes(docs: DataFrame, folded: DataFrame) -> DataFrame:
+    """``whole, marks``: for windows told by one place of each, the hashes of their nearest 1, 2, ... words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = _WordHash()
+        for batch in slices(batches, "text", 1_000_000):
+            h, sizes, owner, (place, side, passage, size, whole) = _hashed(batch, memory)
+            at, starts, runs = place.astype(np.int64), np.cumsum(sizes) - sizes, _Runs(h)
+            room = np.where(side == 0, at, sizes[owner] - at - PARAGRAPH)
+            fits = np.flatnonzero((size <= room) & (at + PARAGRAPH <= sizes[owner]))
+            start, side, passage, size, whole = (starts[owner] + at)[fits], side[fits], passage[fits], size[fits].astype(np.int64), whole[fits]
+            fits = np.flatnonzero(_beside(runs, start, side, passage, size).view(np.int64) == whole)
+            start, side, passage, size, whole = start[fits], side[fits], passage[fits], size[fits], whole[fits]
+            ends = np.concatenate(([0], np.cumsum(size)))
+            row = np.repeat(np.arange(len(size)), size)
+            marks = _beside(runs, start[row], side[row], passage[row], 1 + np.arange(ends[-1]) - ends[row])
+            yield pa.RecordBatch.from_arrays([pa.array(whole), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(marks))], names=["whole", "marks"])
+
+    return _wishes(docs, folded, "place", "side", "passage", "size", "whole").mapInArrow(run, "whole long, marks array<long>")
 
 
-def _extents(windows: DataFrame) -> DataFrame:
+#: Lengths at which windows are compared first; then the lengths between the last one shared and the next.
+LEVELS = (1, 2, 4, 8, 12, 16, 20, 24, 28)
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """Per window the greatest ``level`` at which another document (``have``) and a smaller one (``gone``) has the ``mark``."""
+    groups = rows.groupBy("mark").agg(F.min("doc_id").alias("least"), F.max("hi").alias("most")).where("least != most").drop("most")
+    met = rows.join(apart(groups, "mark"), "mark")
+    return met.groupBy("whole").agg(F.max("level").alias("have"), F.max(F.when(F.col("least") < F.col("doc_id"), F.col("level"))).alias("gone"))
+
+
+def _extents(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """``doc_id, place, before, after, gone_before, gone_after``: how many words next to a paragraph are repeated with it.
 
     ``before`` and ``after`` count what any other document of the class has beside its paragraph,
-    ``gone_...`` what a smaller doc_id has. Everyone under a key is compared with its first
-    document; those that part from it at one place with one word form the next round's key, so that
-    longer runs among them are found, too. A round adds a word at least, hence there are at most `REACH`.
+    ``gone_...`` what a smaller doc_id has. Equal windows are one, known by its smallest document. Windows that share their nearest
+    word with an unequal one are compared by their hashes at `LEVELS`, then at the lengths between
+    two levels, there with all windows that agree up to the lower one. Two steps whatever the data, no pairs.
     """
-    now, told, rounds = stored(windows, "passages-windows"), [], 0
-    while True:
-        firsts = now.groupBy("key").agg(F.min_by("w", F.struct("doc_id", "place")).alias("fw"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        firsts = firsts.where("first != last").drop("last")
-        parted = F.array_position(F.zip_with("w", "fw", lambda x, y: x.eqNullSafe(y)), False)
-        met = now.join(apart(firsts, "key"), "key").withColumn("have", F.when(parted > 0, parted - 1).otherwise(F.size("w")).cast("int"))
-        met = stored(met.select("doc_id", "place", "side", "key", "first", "have", F.when(F.col("have") < F.size("w"), F.col("w")).alias("w")), f"passages-extents{rounds}")
-        others = met.where("doc_id != first")
-        best = others.groupBy("key").agg(F.max("have").alias("best")).where("best > 0")
-        told.append(others.select("doc_id", "place", "side", "have", F.col("have").alias("gone")))
-        told.append(met.where("doc_id = first").join(apart(best, "key"), "key").select("doc_id", "place", "side", F.least("have", "best").alias("have"), F.lit(0).alias("gone")))
-        now = met.where("w is not null").select("doc_id", "place", "side", F.xxhash64("key", "have", F.get("w", F.col("have"))).alias("key"), "w")
-        rounds += 1
-        if not now.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo != hi").limit(1).count():
-            break
-    every = told[0]
-    for other in told[1:]:
-        every = every.unionByName(other)
+    who = F.min(F.struct("doc_id", "place", "side", "passage", "size"))
+    folded = windows.groupBy("whole").agg(who.alias("who"), F.max("doc_id").alias("hi")).select("whole", "who.*", "hi")
+    folded = stored(folded, "passages-folded")
+    several = folded.groupBy("passage", "side").agg(F.min("doc_id").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n")).where("n > 1 and lo != hi")
+    several = several.select(F.xxhash64("passage", "side").alias("key"))
+    asked = folded.withColumn("key", F.xxhash64("passage", "side")).join(apart(several, "key"), "key", "left_semi").drop("key")
+    marks = stored(_prefixes(docs, asked).join(folded.select("whole", "doc_id", "hi", "size"), "whole"), "passages-marks")
+
+    def at(level) -> Column:
+        return F.get("marks", level - F.lit(1))
+
+    levels = F.filter(F.array(*map(F.lit, LEVELS)), lambda x: x <= F.col("size"))
+    coarse = marks.select("whole", "doc_id", "hi", F.inline(F.transform(levels, lambda x: F.struct(x.alias("level"), at(x).alias("mark")))))
+    found = stored(_shared(coarse), "passages-coarse")
+    known = marks.join(found, "whole").withColumn("gone", F.coalesce("gone", F.lit(0)))
+    # Where the search goes on: at the last level shared, unless it is the whole window or nothing.
+    open_ = F.array_distinct(F.array(F.when(F.col("doc_id") == F.col("hi"), F.col("have")), F.when(F.col("gone") > 0, F.col("gone"))))
+    open_ = F.filter(open_, lambda x: x < F.col("size"))
+    places = stored(known.select(F.explode(F.transform(open_, at)).alias("mark")).distinct(), "passages-open")
+    above = F.create_map(*[F.lit(x) for pair in zip(LEVELS, (*LEVELS[1:], REACH)) for x in pair])
+    begun = marks.select("whole", "doc_id", "hi", "marks", "size", F.explode(F.transform(levels, lambda x: F.struct(x.alias("level"), at(x).alias("mark")))).alias("at"))
+    begun = begun.withColumn("mark", F.col("at.mark")).join(places, "mark", "left_semi")
+    between = F.filter(F.sequence(F.col("at.level") + 1, F.greatest(F.col("at.level") + 1, F.least(above[F.col("at.level")] - 1, F.col("size")))),
+                       lambda x: (x < above[F.col("at.level")]) & (x <= F.col("size")))
+    fine = begun.select("whole", "doc_id", "hi", F.inline(F.transform(between, lambda x: F.struct(x.alias("level"), at(x).alias("mark")))))
+    both = found.unionByName(_shared(fine)).groupBy("whole").agg(F.max("have").alias("have"), F.max("gone").alias("gone"))
+    have = F.when(F.col("doc_id") < F.col("hi"), F.col("size")).otherwise(F.coalesce("have", F.lit(0)))
+    ends = stored(folded.join(both, "whole", "left").select("whole", F.col("doc_id").alias("least"), have.alias("have"), F.coalesce("gone", F.lit(0)).alias("gone")), "passages-ends")
+    told = windows.join(apart(ends, "whole"), "whole").where("have > 0 or least < doc_id")
+    told = told.withColumn("gone", F.when(F.col("least") < F.col("doc_id"), F.col("size")).otherwise(F.col("gone")))
+
     def most(column: str, side: int) -> Column:
         return F.coalesce(F.max(F.when(F.col("side") == side, F.col(column))), F.lit(0))
-    return every.where("have > 0").groupBy("doc_id", "place").agg(
+
+    return told.groupBy("doc_id", "place").agg(
         most("have", 0).alias("before"), most("have", 1).alias("after"), most("gone", 0).alias("gone_before"), most("gone", 1).alias("gone_after"))
 
 
@@ -261,7 +336,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     members = stored(members.select("doc_id", "place", "content", F.coalesce("component", "content").alias("passage")), "passages-members")
     spread = members.groupBy("passage").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc != last_doc").drop("last_doc")
     members = stored(members.join(apart(spread, "passage"), "passage"), "passages-spread")
-    found = members.join(_extents(_windows(docs, members.select("doc_id", "place", "content", "passage"))), ["doc_id", "place"], "left")
+    discarded(every, met)
+    windows = stored(_windows(docs, members), "passages-windows")
+    found = members.join(_extents(docs, windows), ["doc_id", "place"], "left")
     before, after, gone_before, gone_after = (F.coalesce(F.col(c), F.lit(0)) for c in ("before", "after", "gone_before", "gone_after"))
     gone = F.struct((F.col("place") - gone_before).alias("place"), (gone_before + PARAGRAPH + gone_after).alias("words"))
     return found.select("doc_id", (F.col("place") - before).alias("place"), (before + PARAGRAPH + after).alias("words"), "passage", "first_doc",

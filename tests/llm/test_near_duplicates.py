@@ -6,6 +6,7 @@ import string
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from riskloom.llm import components, passages, simhash
 from tests.llm.fixtures import PASSAGE, ROWS, frame, prose
@@ -158,3 +159,50 @@ def test_cut_keeps_the_rest(spark):
     assert passages.cut(text, [(2, 2)]) == "  a b\ne\t" + " ".join(map(str, range(30))) + " z"
     assert passages.cut(text, [(5, 100)]) == "  a b\nc  d e\t"
     assert passages.cut(text, []) == text and passages.cut("a", [(0, 1)]) == ""
+
+
+def test_runs_beside_paragraphs_against_brute_force(spark):
+    """Every window against every other of its class, on texts that share runs of all lengths and part at any word."""
+    import random
+
+    draw = random.Random(7)
+    base = [f"w{draw.randrange(9999)}" for _ in range(160)]
+    texts = []
+    for i in range(60):
+        a = draw.randrange(0, 60)
+        words = base[a:a + draw.randrange(50, 100)]
+        for _ in range(draw.randrange(0, 3)):
+            words[draw.randrange(len(words))] = f"x{draw.randrange(3)}"
+        texts.append((i, " ".join([f"y{draw.randrange(4)}" for _ in range(draw.randrange(0, 6))] + words), "en", "s"))
+    docs = frame(spark, texts)
+    members = passages.paragraphs(docs).select("doc_id", "place", "content", F.col("content").alias("passage"))
+    windows = passages.stored(passages._windows(docs, members), "test-windows")
+    got = {(r.doc_id, r.place): (r.before, r.after, r.gone_before, r.gone_after) for r in passages._extents(docs, windows).collect()}
+    words = {i: t.lower().split() for i, t, *_ in texts}
+    rows = [(r.doc_id, r.place, r.passage) for r in members.collect()]
+    sides = {}
+    for i, at, passage in rows:
+        sides.setdefault((passage, 0), []).append((i, at, words[i][max(0, at - 30):at][::-1]))
+        sides.setdefault((passage, 1), []).append((i, at, words[i][at + 21:at + 51]))
+
+    def common(a, b):
+        return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    wrong = []
+    for i, at, passage in rows:
+        want = []
+        for smaller in (False, True):
+            for side in (0, 1):
+                own = next(w for j, a, w in sides[passage, side] if (j, a) == (i, at))
+                want.append(max([common(own, w) for j, _, w in sides[passage, side] if j != i and (not smaller or j < i)], default=0))
+        if got.get((i, at), (0, 0, 0, 0)) != tuple(want):
+            wrong.append((i, at, got.get((i, at)), want))
+    assert len(rows) > 100 and any(len(x) > 5 for x in sides.values()) and not wrong
+
+
+def test_plan_does_not_follow_the_data(spark):
+    def exchanges(run):
+        rows = [(i, prose(300 + i, 20) + " " + run + " " + prose(400 + i, 20), "en", "s") for i in range(6)]
+        return passages.documents_with_repeats(frame(spark, rows))._jdf.queryExecution().toString().count("Exchange")
+
+    assert exchanges(prose(1, 52)) == exchanges(prose(2, 600)) < 40
