@@ -296,11 +296,12 @@ def _extents(docs: DataFrame, windows: DataFrame) -> DataFrame:
     open_ = F.filter(open_, lambda x: x < F.col("size"))
     places = stored(known.select(F.explode(F.transform(open_, at)).alias("mark")).distinct(), "passages-open")
     above = F.create_map(*[F.lit(x) for pair in zip(LEVELS, (*LEVELS[1:], REACH)) for x in pair])
-    begun = marks.select("whole", "doc_id", "hi", "marks", "size", F.explode(F.transform(levels, lambda x: F.struct(x.alias("level"), at(x).alias("mark")))).alias("at"))
-    begun = begun.withColumn("mark", F.col("at.mark")).join(places, "mark", "left_semi")
-    between = F.filter(F.sequence(F.col("at.level") + 1, F.greatest(F.col("at.level") + 1, F.least(above[F.col("at.level")] - 1, F.col("size")))),
-                       lambda x: (x < above[F.col("at.level")]) & (x <= F.col("size")))
-    fine = begun.select("whole", "doc_id", "hi", F.inline(F.transform(between, lambda x: F.struct(x.alias("level"), at(x).alias("mark")))))
+    # Only hashes are shuffled to find who takes part; the windows themselves come once, by their name.
+    begun = coarse.select("whole", "level", "mark").join(places, "mark", "left_semi").groupBy("whole").agg(F.collect_set("level").alias("begun"))
+    next_ = above[F.col("level")]
+    between = F.filter(F.sequence(F.lit(2), F.lit(REACH - 1)), lambda x: (x > F.col("level")) & (x < next_) & (x <= F.col("size")))
+    fine = marks.join(begun, "whole").select("whole", "doc_id", "hi", "marks", "size", F.explode("begun").alias("level"))
+    fine = fine.select("whole", "doc_id", "hi", F.inline(F.transform(between, lambda x: F.struct(x.alias("level"), at(x).alias("mark")))))
     both = found.unionByName(_shared(fine)).groupBy("whole").agg(F.max("have").alias("have"), F.max("gone").alias("gone"))
     have = F.when(F.col("doc_id") < F.col("hi"), F.col("size")).otherwise(F.coalesce("have", F.lit(0)))
     ends = stored(folded.join(both, "whole", "left").select("whole", F.col("doc_id").alias("least"), have.alias("have"), F.coalesce("gone", F.lit(0)).alias("gone")), "passages-ends")
