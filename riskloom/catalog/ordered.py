@@ -8,7 +8,7 @@ from riskloom.catalog import Query
 from riskloom.catalog import sql as q
 from riskloom.functions import rating
 from riskloom.functions.numeric import rounded
-from riskloom.operators import latest, ordered, statistics as st
+from riskloom.operators import latest, ordered, statistics as st, windows
 from riskloom.operators.asof import asof_join
 from riskloom.plans import features as pf
 from riskloom.sources import views as v
@@ -67,6 +67,13 @@ def sliding_window_stats(spark, d):
     return st.sliding_window_stats(v.table(spark, d, "events"), ts="ts", succeeded=F.col("event_type") != "error", latency="value")
 
 
+def trailing_per_event(spark, d):
+    """Each event with the last hour of its kind."""
+    return windows.trailing_per_event(
+        v.table(spark, d, "events").select("event_id", "event_type", "ts", "user_id", "value"), series=["event_type"], ts="ts",
+        succeeded=F.col("user_id") % 7 != 0, latency="value", window_seconds=3600, tick_seconds=60)
+
+
 def rolling_throughput(spark, d):
     rolled = ordered.rolling_throughput(
         v.table(spark, d, "events").select("event_id", "event_type", "ts"), ["event_type"], "ts", ("event_id",))
@@ -130,13 +137,22 @@ SELECT count(*) AS total, count(*) FILTER (ok) AS successful, count(*) FILTER (N
   (SELECT max(CASE WHEN rn = least((n * 95) // 100 + 1, n) THEN value END) FROM good) AS p95_latency,
   (SELECT max(CASE WHEN rn = least((n * 99) // 100 + 1, n) THEN value END) FROM good) AS p99_latency
 FROM recent"""),
-    "sliding_window_stats": Query(sliding_window_stats, """
+    "sliding_window_stats": Query(sliding_window_stats, f"""
+WITH spread AS (SELECT *, event_type <> 'error' AS ok, date_trunc('second', ts) - to_seconds(s) AS window_start FROM events, range(30) r(s)),
+tails AS (SELECT window_start, {', '.join(f"max(CASE WHEN rn = least((n * {p}) // 100 + 1, n) THEN value END) AS p{p}_latency" for p in (95, 99))}
+  FROM (SELECT window_start, value, row_number() OVER (PARTITION BY window_start ORDER BY value) AS rn, count(*) OVER (PARTITION BY window_start) AS n
+    FROM spread WHERE ok AND value IS NOT NULL) GROUP BY 1)
 SELECT window_start, count(*) AS total, count(*) FILTER (ok) AS successful,
   (count(*) FILTER (ok) * 100) / count(*) AS success_rate,
   sum(value::DECIMAL(28,6)) FILTER (ok)::DOUBLE / count(*) FILTER (ok) AS avg_latency, max(value) FILTER (ok) AS max_latency,
-  window_start + INTERVAL 30 SECOND AS window_end
-FROM (SELECT *, event_type <> 'error' AS ok, date_trunc('second', ts) - to_seconds(s) AS window_start FROM events, range(30) r(s))
-GROUP BY window_start"""),
+  window_start + INTERVAL 30 SECOND AS window_end, any_value(p95_latency) AS p95_latency, any_value(p99_latency) AS p99_latency
+FROM spread LEFT JOIN tails USING (window_start) GROUP BY window_start"""),
+    "trailing_per_event": Query(trailing_per_event, """
+SELECT event_id, event_type, ts, user_id, value, count(*) OVER w AS window_total, count(*) FILTER (ok) OVER w AS window_successful,
+  (count(*) FILTER (ok) OVER w * 100) / count(*) OVER w AS success_rate, count(*) OVER w / 3600e0 AS throughput,
+  (sum(value::DECIMAL(28,6)) FILTER (ok) OVER w)::DOUBLE / nullif(count(*) FILTER (ok) OVER w, 0) AS avg_latency, max(value) FILTER (ok) OVER w AS max_latency
+FROM (SELECT *, user_id % 7 <> 0 AS ok FROM events)
+WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 3599999999 MICROSECOND PRECEDING AND CURRENT ROW)"""),
     "rolling_throughput": Query(rolling_throughput, f"""
 WITH p AS (SELECT event_id, event_type, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i,
   count(*) OVER (PARTITION BY event_type) AS n FROM events),

@@ -22,6 +22,12 @@ def group_key(by: list[str]) -> Column:
     return F.struct(F.lit(0).alias("_"), *by)
 
 
+def own_shuffle(df: DataFrame, key: str) -> DataFrame:
+    """The same rows with the whole-number ``key`` computed anew, so that a join on it shuffles them for itself:
+    Spark splits a hot key only between two shuffles of the join's own."""
+    return df.withColumn(key, F.bitwise_not(F.bitwise_not(F.col(key).cast("bigint"))))
+
+
 def with_position(df: DataFrame, by: list[str], order: list, cell: Column) -> DataFrame:
     """Adds ``position`` (0-based, in ``order`` within ``by``) and ``group_rows`` (rows of the group).
 
