@@ -257,9 +257,9 @@ def stream_increment(spark, d):
 def stream_window(spark, d):
     folder = new_folder(spark, "windows")
     stream = live.file_stream(spark, stream_path(d), events(spark, d).schema)
-    stats = live.window_stats(stream, ts="ts", succeeded=F.col("event_type") != "error", latency="value")
-    live.write_stream(stats, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{folder}/out")
+    how = {"ts": "ts", "succeeded": F.col("event_type") != "error", "latency": "value"}
+    live.write_windows(live.window_stats(stream, **how), f"{folder}/out", f"{folder}/checkpoint", events(spark, d), **how).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop("batch_id")
 
 
 def stream_latest(spark, d):
@@ -363,11 +363,16 @@ WHERE ts > TIMESTAMP '{MARK}' AND ts <= (SELECT max(ts) FROM events WHERE event_
     "increment_run": Query(increment_run, preparation.prepared_sql(
         f"SELECT {RESULT_COLUMNS_SQL}, max({SERVED_SQL}) OVER () AS last_processed FROM enc, stats")),
     "stream_increment": Query(stream_increment, preparation.prepared_sql(f"SELECT {RESULT_COLUMNS_SQL} FROM enc, stats")),
-    "stream_window": Query(stream_window, """
+    "stream_window": Query(stream_window, f"""
+WITH spread AS (SELECT *, event_type <> 'error' AS ok, date_trunc('second', ts) - to_seconds(s) AS window_start FROM events, range(30) r(s)),
+tails AS (SELECT window_start, {', '.join(f"max(CASE WHEN rn = least((n * {p}) // 100 + 1, n) THEN value END) AS p{p}_latency" for p in (95, 99))}
+  FROM (SELECT window_start, value, row_number() OVER (PARTITION BY window_start ORDER BY value) AS rn, count(*) OVER (PARTITION BY window_start) AS n
+    FROM spread WHERE ok AND value IS NOT NULL) GROUP BY 1)
 SELECT window_start, window_start + INTERVAL 30 SECOND AS window_end, count(*) AS total, count(*) FILTER (ok) AS successful,
   (count(*) FILTER (ok) * 100) / count(*) AS success_rate,
-  sum(value::DECIMAL(28,6)) FILTER (ok)::DOUBLE / nullif(count(*) FILTER (ok), 0) AS avg_latency, max(value) FILTER (ok) AS max_latency
-FROM (SELECT *, event_type <> 'error' AS ok, date_trunc('second', ts) - to_seconds(s) AS window_start FROM events, range(30) r(s))
+  sum(value::DECIMAL(28,6)) FILTER (ok)::DOUBLE / nullif(count(*) FILTER (ok), 0) AS avg_latency, max(value) FILTER (ok) AS max_latency,
+  any_value(p95_latency) AS p95_latency, any_value(p99_latency) AS p99_latency
+FROM spread LEFT JOIN tails USING (window_start)
 GROUP BY window_start HAVING window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 MINUTE FROM events)"""),
     "stream_latest": Query(stream_latest, """
 SELECT event_id, ts, user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""),

@@ -67,8 +67,9 @@ def dataset_listing(spark, d):
     segments = v.table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     for r in range(3):
         tables.write_dataset(segments.filter(F.col("c_custkey") % 3 == r), root, "segments", f"v{r}")
-    counted = spark.read.parquet(f"{root}/segments").groupBy(F.col("version").alias("dataset_version")).agg(F.count("*").alias("row_count"))
-    return tables.list_datasets(spark, root).join(counted, "dataset_version").select("dataset_name", "dataset_version", "row_count")
+    parts = [tables.read_dataset(spark, root, "segments", f"v{r}").select(F.lit(f"v{r}").alias("dataset_version")) for r in range(3)]
+    counted = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("dataset_version").agg(F.count("*").alias("row_count"))
+    return tables.list_datasets(spark, root).drop("row_count").join(counted, "dataset_version").select("dataset_name", "dataset_version", "row_count")
 
 
 def dispatch_by_name(spark, d):

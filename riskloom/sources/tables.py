@@ -3,13 +3,20 @@ update, snapshots for small mutable state, immutable named and versioned dataset
 
 from __future__ import annotations
 
+import json
+import re
+import uuid
+from collections.abc import Callable
 from datetime import datetime
+from urllib.parse import quote, unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, LongType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from riskloom.functions.times import clock
+from riskloom.sources.publish import exists, names, publish_text, published, read_text, remove, sizes
 
 
 # --- reading ------------------------------------------------------------------------------------
@@ -33,17 +40,6 @@ def from_rows(spark: SparkSession, rows: list[tuple], schema: StructType | list[
     return spark.createDataFrame(rows, schema)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
-def remove(spark: SparkSession, path: str) -> bool:
-    """Delete a folder and all in it; False where there was none."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 # --- writing ------------------------------------------------------------------------------------
 
 def with_default(name: str, kind: DataType, default: str) -> StructField:
@@ -64,6 +60,18 @@ def _write(df: DataFrame, path: str, mode: str) -> int:
     return seen.get["rows"]
 
 
+def _add_files(df: DataFrame, path: str) -> int:
+    """Append through a folder of its own, so that writers who append at the same time do not share one."""
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}/_staged/{uuid.uuid4().hex}"
+    rows = _write(df, staged, "errorifexists")
+    for name in sizes(spark, staged):
+        if not published(spark, f"{staged}/{name}", f"{path}/{name}"):  # the names are unique to the write
+            raise RuntimeError(f"{path}/{name} is there already")
+    remove(spark, staged)
+    return rows
+
+
 def overwrite(df: DataFrame, target: str) -> int:
     """Replace a table by a query result; returns the row count. ``target`` is a path or table name."""
     if "/" in target:
@@ -88,7 +96,7 @@ def append(df: DataFrame, path: str, schema: StructType | None = None, defaults:
         c = F.col(field.name) if field.name in df.columns else defaults.get(field.name, kept)
         return c.cast(field.dataType).alias(field.name, metadata=field.metadata)
 
-    return _write(df.select(*[value(f) for f in schema.fields]), path, "append")
+    return _add_files(df.select(*[value(f) for f in schema.fields]), path)
 
 
 def insert_row(spark: SparkSession, path: str, schema: StructType, **values) -> int:
@@ -121,68 +129,158 @@ def keyed_update(target: DataFrame, updates: DataFrame, keys: list[str]) -> Data
 
 #: Changes after which a state table folds its commits and drops old snapshots.
 COMPACT_EVERY = 20
-COMMITS = StructType([StructField("snapshot", LongType()), StructField("written_at", TimestampNTZType())])
+COMMITS = StructType([StructField("snapshot", LongType()), StructField("written_at", TimestampNTZType()), StructField("folder", StringType())])
+
+
+class Conflict(RuntimeError):
+    """Another writer has changed the state since it was read."""
 
 
 class StateTable:
-    """A small table kept as numbered snapshots. A change writes the next snapshot and then records
-    it as committed: readers see the old or the new state, and nothing being read is overwritten."""
+    """A small table kept as numbered snapshots, for any number of writers.
+
+    A change writes its snapshot to a folder of its own and then publishes the commit of the next
+    number, which only one writer can: the others read the new state and try again. Readers see the
+    old or the new state, and nothing being read is overwritten."""
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        ensure_table(spark, f"{self.path}/commits", COMMITS)
+        if self.current() is None:  # commit 0 is the empty state
+            self._publish(0, self._snapshot(spark.createDataFrame([], schema), 0), None)
+
+    def _numbers(self) -> list[int]:
+        found = (re.fullmatch(r"commit-(\d+)\.parquet", name) for name in names(self.spark, f"{self.path}/commits"))
+        return sorted(int(m[1]) for m in found if m)
 
     def current(self) -> int | None:
-        return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits").agg(F.max("snapshot")).first()[0]
+        """The number of the newest commit; listing names is all it takes."""
+        return max(self._numbers(), default=None)
 
-    def read(self) -> DataFrame:
-        number = self.current()
-        if number is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/snapshot={number}")
+    def _file(self, number: int) -> str:
+        return f"{self.path}/commits/commit-{number:012d}.parquet"
 
-    def replace(self, df: DataFrame, at: datetime | str | None = None) -> int:
-        """Commit ``df`` as the new state. A snapshot left over from a failed try is overwritten:
-        it was never committed, so nobody reads it."""
-        number = (self.current() or 0) + 1
-        df.select(*self.schema.names).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/snapshot={number}")
-        insert_row(self.spark, f"{self.path}/commits", COMMITS, snapshot=number, written_at=clock(at))
+    def at(self, number: int) -> DataFrame:
+        """The state of a commit."""
+        folder = self.spark.read.schema(COMMITS).parquet(self._file(number)).first()["folder"]
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}")
+
+    def read(self) -> DataFrame:
+        while True:
+            number = self.current()
+            try:
+                return self.at(number)
+            except AnalysisException:
+                if exists(self.spark, self._file(number)):  # else it was folded away meanwhile, and there is a newer one
+                    raise
+
+    def _snapshot(self, df: DataFrame, number: int) -> str:
+        """Write a state under a name of its own. One that never gets its commit belongs to no state, so nobody reads it."""
+        folder = f"snapshot={number}/{uuid.uuid4().hex}"
+        df.select(*self.schema.names).write.parquet(f"{self.path}/{folder}")
+        return folder
+
+    def _publish(self, number: int, folder: str, at: datetime | str | None) -> bool:
+        draft = f"{self.path}/_drafts/{uuid.uuid4().hex}"
+        self.spark.range(0, 1, 1, 1).select(
+            F.lit(number).cast("long").alias("snapshot"), clock(at).alias("written_at"), F.lit(folder).alias("folder")).write.parquet(draft)
+        (name,) = sizes(self.spark, draft)
+        done = published(self.spark, f"{draft}/{name}", self._file(number))
+        remove(self.spark, draft)
+        return done
+
+    def commit(self, df: DataFrame, base: int, at: datetime | str | None = None) -> int:
+        """Make ``df`` the state after commit ``base``; `Conflict` if that is not the newest any more."""
+        number = base + 1
+        folder = self._snapshot(df, number)
+        done = self._publish(number, folder, at)
+        # Folding takes away a commit before its base. If the base is gone and this one stands, it was published long after its time: no reader saw it.
+        if done and not exists(self.spark, self._file(base)) and exists(self.spark, self._file(number)):
+            remove(self.spark, self._file(number))
+            done = False
+        if not done:
+            remove(self.spark, f"{self.path}/{folder}")
+            raise Conflict(f"{self.path}: commit {number} was another writer's")
         if number % COMPACT_EVERY == 0:
             self.compact(number)
         return number
 
+    def update(self, change: Callable[[DataFrame], DataFrame], at: datetime | str | None = None, tries: int = 20) -> int:
+        """Commit ``change`` of the newest state; whenever another writer comes first, of that one's state."""
+        while True:
+            base, tries = self.current(), tries - 1
+            try:
+                return self.commit(change(self.at(base)), base, at)
+            except Conflict:
+                if tries <= 0:
+                    raise
+
+    def replace(self, df: DataFrame, at: datetime | str | None = None) -> int:
+        """Make ``df`` the new state, whatever the state is now. What depends on the state goes through `update`."""
+        return self.update(lambda now: df, at)
+
     def compact(self, number: int) -> None:
-        """Fold the commit files into one that names snapshot ``number``, and drop the snapshots before the
-        last one (a reader may still hold that). Readers take the greatest number they find, so at no moment
-        is there less than the current state."""
-        old = self.spark.read.parquet(f"{self.path}/commits").inputFiles()
-        insert_row(self.spark, f"{self.path}/commits", COMMITS, snapshot=number, written_at=clock(None))
-        for file in old:
-            remove(self.spark, file)
-        for gone in range(max(1, number - 1 - COMPACT_EVERY), number - 1):
+        """Drop the commits before ``number``, newest first, and the snapshots before the last one (a reader may
+        still hold that). Readers take the greatest number they find, so at no moment is there less than the current state."""
+        for old in reversed(self._numbers()):
+            if old < number:
+                remove(self.spark, self._file(old))
+        for gone in range(max(0, number - 2 - COMPACT_EVERY), number - 1):
             remove(self.spark, f"{self.path}/snapshot={gone}")
 
 
 # --- immutable datasets -------------------------------------------------------------------------
 
-def dataset_path(root: str, name: str, version: str) -> str:
-    return f"{root.rstrip('/')}/{name}/version={version}"
+def _manifest_path(root: str, name: str, version: str) -> str:
+    return f"{root.rstrip('/')}/{quote(name, safe='')}/_manifests/{quote(version, safe='')}.json"
+
+
+def manifest(spark: SparkSession, root: str, name: str, version: str) -> dict | None:
+    """What a dataset's version consists of: folder, files with their bytes, rows, schema. None while there is no such version."""
+    path = _manifest_path(root, name, version)
+    return json.loads(read_text(spark, path)) if exists(spark, path) else None
 
 
 def write_dataset(df: DataFrame, root: str, name: str, version: str) -> dict:
-    """Freeze a frame as a version of a named dataset; an existing version is an error."""
-    path = dataset_path(root, name, version)
-    return {"dataset_name": name, "dataset_version": version, "path": path, "row_count": _write(df, path, "errorifexists")}
+    """Freeze a frame as a version of a named dataset; an existing version is an error.
+
+    The rows go to a folder of this try alone; the manifest that names it comes last, and only one
+    can be published. A write that dies leaves nothing a reader sees, and nothing in the way of the next try."""
+    spark = df.sparkSession
+    taken = FileExistsError(f"dataset {name} has a version {version} already: it exists under {root}")
+    if manifest(spark, root, name, version) is not None:
+        raise taken
+    folder = f"{root.rstrip('/')}/{quote(name, safe='')}/data/{uuid.uuid4().hex}"
+    rows = _write(df, folder, "errorifexists")
+    about = {"dataset_name": name, "dataset_version": version, "row_count": rows, "folder": folder,
+             "files": sizes(spark, folder), "schema": json.loads(df.schema.json())}
+    if not publish_text(spark, _manifest_path(root, name, version), json.dumps(about)):
+        remove(spark, folder)
+        raise taken
+    return {"dataset_name": name, "dataset_version": version, "path": folder, "row_count": rows}
 
 
 def list_datasets(spark: SparkSession, root: str) -> DataFrame:
-    """(dataset_name, dataset_version) of every frozen dataset under ``root``, from the folders' names."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/version=*")
-    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) or []
-    paths = [f.getPath() for f in found]
-    rows = [(p.getParent().getName(), p.getName().removeprefix("version=")) for p in paths]
-    return spark.createDataFrame(sorted(rows), "dataset_name string, dataset_version string")
+    """(dataset_name, dataset_version, row_count) of every frozen dataset under ``root``, from the manifests."""
+    rows = []
+    for name in names(spark, root):
+        for file in names(spark, f"{root.rstrip('/')}/{name}/_manifests"):
+            if file.endswith(".json"):
+                about = manifest(spark, root, unquote(name), unquote(file.removesuffix(".json")))
+                rows.append((about["dataset_name"], about["dataset_version"], about["row_count"]))
+    return spark.createDataFrame(rows, "dataset_name string, dataset_version string, row_count long")
 
 
 def read_dataset(spark: SparkSession, root: str, name: str, version: str) -> DataFrame:
-    return spark.read.parquet(dataset_path(root, name, version))
+    about = manifest(spark, root, name, version)
+    if about is None:
+        raise FileNotFoundError(f"no dataset {name} {version} under {root}")
+    return spark.read.schema(StructType.fromJson(about["schema"])).parquet(about["folder"])
+
+
+def dataset_problems(spark: SparkSession, root: str, name: str, version: str) -> list[str]:
+    """Files of a version that are missing, changed or too many, against its manifest."""
+    about = manifest(spark, root, name, version)
+    if about is None:
+        return ["no manifest"]
+    here = sizes(spark, about["folder"]) if exists(spark, about["folder"]) else {}
+    return [f"{f}: {about['files'].get(f)} bytes expected, {here.get(f)} found" for f in sorted({*here, *about["files"]}) if here.get(f) != about["files"].get(f)]

@@ -9,8 +9,10 @@ its own output.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -22,6 +24,7 @@ from riskloom.functions.times import clock, instant
 from riskloom.operators.prep import Encoder, Scaler, transform_struct
 from riskloom.schemas import INFERENCE_LOG, WATERMARK
 from riskloom.sources import tables
+from riskloom.sources.publish import publish_text, published, read_text
 from riskloom.sources.serving_log import DEFAULT_PREFIX, LogKeys, extract, json_attribute
 
 
@@ -100,24 +103,48 @@ class Watermarks(tables.StateTable):
         fresh = self.spark.range(1).select(
             F.lit(key).alias("watermark_key"), instant(fv.WATERMARK_START).alias("last_processed"))
         if self.read().filter(F.col("watermark_key") == key).isEmpty():
-            self.replace(tables.insert_absent(self.read(), fresh, ["watermark_key"]))
+            self.update(lambda now: tables.insert_absent(now, fresh, ["watermark_key"]))
 
     def mark(self, key: str = fv.WATERMARK_KEY):
         return self.read().filter(F.col("watermark_key") == key).first()["last_processed"]
 
-    def advance(self, mark, key: str = fv.WATERMARK_KEY) -> None:
-        update = self.spark.range(1).select(F.lit(key).alias("watermark_key"), instant(mark).alias("last_processed"))
-        self.replace(tables.keyed_update(self.read(), update, ["watermark_key"]))
+    def claim(self, low, high, key: str = fv.WATERMARK_KEY):
+        """Where the interval after ``low`` ends: at ``high``, unless a job before or beside this one has said otherwise.
+
+        It is decided once, so all tries at an interval process the same rows."""
+        path = self._claim(low, key)
+        publish_text(self.spark, path, high.isoformat())
+        return datetime.fromisoformat(read_text(self.spark, path))
+
+    def _claim(self, low, key: str) -> str:
+        return f"{self.path}/claims/{quote(key, safe='')}/{low:%Y%m%dT%H%M%S%f}"
+
+    def advance(self, mark, key: str = fv.WATERMARK_KEY, since=None) -> bool:
+        """Move a mark. With ``since``, only from there: False if another job has moved it already."""
+        moved = []
+
+        def change(now: DataFrame) -> DataFrame:
+            here = now.filter(F.col("watermark_key") == key).first()
+            moved[:] = [since is None or here is not None and here["last_processed"] == since]
+            update = self.spark.range(1).filter(F.lit(moved[0])).select(F.lit(key).alias("watermark_key"), instant(mark).alias("last_processed"))
+            return tables.keyed_update(now, update, ["watermark_key"])
+
+        self.update(change)
+        if moved[0] and since is not None:
+            tables.remove(self.spark, self._claim(since, key))
+        return moved[0]
 
 
 def process_increment(
     log: DataFrame, marks: Watermarks, results_path: str, to_results: Callable[[DataFrame], DataFrame], *,
     key: str = fv.WATERMARK_KEY, prefix: str = DEFAULT_PREFIX,
 ) -> Progress:
-    """Process what is new in the log and move the mark.
+    """Process what is new in the log and move the mark. Any number of jobs may do so at once.
 
-    The output folder is named after the key and the interval's start and is replaced, not appended to: if the
-    job dies between writing results and moving the mark, the next run writes the same folder again.
+    The interval's end is agreed on first, its results are written to a folder of this try, and that
+    folder gets the interval's name unless another try has been faster. If the job dies before the
+    mark moves, the next run finds the interval claimed, perhaps written, and goes on from there; of
+    two jobs at one interval the results of one stay, and one of them moves the mark.
     """
     marks.start(key)
     low = marks.mark(key)
@@ -125,11 +152,21 @@ def process_increment(
     high = new_mark(log, low, wanted).first()["new_mark"]
     if high is None:
         return Progress(0, None)
-    seen = Observation()
-    rows = to_results(interval(log, low, high, wanted)).observe(seen, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("overwrite").parquet(f"{results_path}/mark={quote(key, safe='')}/after={low:%Y%m%dT%H%M%S%f}")
-    marks.advance(high, key)
-    return Progress(seen.get["rows"], high)
+    high = marks.claim(low, high, key)
+    spark = log.sparkSession
+    folder = f"{results_path}/mark={quote(key, safe='')}/after={low:%Y%m%dT%H%M%S%f}"
+    if tables.exists(spark, folder):
+        done = spark.read.parquet(folder).count()
+    else:
+        seen = Observation()
+        attempt = f"{results_path}/_attempts/{uuid.uuid4().hex}"
+        rows = to_results(interval(log, low, high, wanted)).observe(seen, F.count(F.lit(1)).alias("rows"))
+        rows.write.parquet(attempt)
+        done = seen.get["rows"]
+        if not published(spark, attempt, folder):
+            tables.remove(spark, attempt)
+    marks.advance(high, key, low)
+    return Progress(done, high)
 
 
 # --- continuous form ----------------------------------------------------------------------------
