@@ -38,8 +38,13 @@ def customer_risk_features(
 ) -> DataFrame:
     """The feature view: one row per customer (``customer_id`` is unique in ``customers``), policies
     optional. Customers without policies count 0 and have NULL averages."""
+    return risk_features(customers, policy_history(policies, year=year), as_of=as_of)
+
+
+def risk_features(customers: DataFrame, history: DataFrame, *, as_of: datetime | str | Column | None = None) -> DataFrame:
+    """The feature view from customers and their policy aggregates."""
     people = customers.select("customer_id", "age", "years_licensed", "claims_history", "credit_score")
-    return people.join(policy_history(policies, year=year), "customer_id", "left").select(
+    return people.join(history, "customer_id", "left").select(
         "customer_id", "age", "years_licensed", "claims_history", "credit_score",
         rating.risk_score("age", "years_licensed", "claims_history", "credit_score").alias("risk_score"),
         rating.claims_per_year("claims_history", "years_licensed").alias("avg_claims_per_year"),
