@@ -28,7 +28,7 @@ from riskloom.llm.base import slices
 #: How byte-level tokenizers cut a text before merging (fixed value of the vocabulary's format).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Pieces, and pairs of tokens, that a worker remembers in each of two generations. Results do not depend on it.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 LONG_PIECE = 200
 
 

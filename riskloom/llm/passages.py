@@ -207,7 +207,7 @@ def _hashed(batch: pa.RecordBatch, memory: _WordHash) -> tuple[np.ndarray, np.nd
 
 def _wishes(docs: DataFrame, wanted: DataFrame, *fields: str) -> DataFrame:
     """The texts that something is wanted of, with the list of it; a list is bounded by the text's own length."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_set(F.struct(*fields)).alias("wanted"))
+    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(*fields)).alias("wanted"))
     return _narrow(docs).join(lists, "doc_id").select("doc_id", "text", "wanted")
 
 
@@ -305,6 +305,7 @@ def _extents(docs: DataFrame, windows: DataFrame) -> DataFrame:
     both = found.unionByName(_shared(fine)).groupBy("whole").agg(F.max("have").alias("have"), F.max("gone").alias("gone"))
     have = F.when(F.col("doc_id") < F.col("hi"), F.col("size")).otherwise(F.coalesce("have", F.lit(0)))
     ends = stored(folded.join(both, "whole", "left").select("whole", F.col("doc_id").alias("least"), have.alias("have"), F.coalesce("gone", F.lit(0)).alias("gone")), "passages-ends")
+    discarded(folded, marks, found, places)
     told = windows.join(apart(ends, "whole"), "whole").where("have > 0 or least < doc_id")
     told = told.withColumn("gone", F.when(F.col("least") < F.col("doc_id"), F.col("size")).otherwise(F.col("gone")))
 
@@ -333,12 +334,13 @@ def repeats(docs: DataFrame) -> DataFrame:
     common = keyed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo != hi").select("key")
     met = stored(keyed.join(apart(common, "key"), "key"), "passages-met")
     linked = components(_similar(docs, met))
-    members = met.select("doc_id", "place", "content").distinct().join(linked, F.col("content") == F.col("id"), "left")
-    members = stored(members.select("doc_id", "place", "content", F.coalesce("component", "content").alias("passage")), "passages-members")
-    spread = members.groupBy("passage").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc != last_doc").drop("last_doc")
-    members = stored(members.join(apart(spread, "passage"), "passage"), "passages-spread")
+    named = met.select("doc_id", "place", "content").distinct().join(linked, F.col("content") == F.col("id"), "left")
+    named = stored(named.select("doc_id", "place", "content", F.coalesce("component", "content").alias("passage")), "passages-named")
     discarded(every, met)
+    spread = named.groupBy("passage").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).where("first_doc != last_doc").drop("last_doc")
+    members = stored(named.join(apart(spread, "passage"), "passage"), "passages-members")
     windows = stored(_windows(docs, members), "passages-windows")
+    discarded(named)
     found = members.join(_extents(docs, windows), ["doc_id", "place"], "left")
     before, after, gone_before, gone_after = (F.coalesce(F.col(c), F.lit(0)) for c in ("before", "after", "gone_before", "gone_after"))
     gone = F.struct((F.col("place") - gone_before).alias("place"), (gone_before + PARAGRAPH + gone_after).alias("words"))
