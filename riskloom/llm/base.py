@@ -32,16 +32,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discarded(first: DataFrame, *others: DataFrame) -> None:
-    """Delete tables made by `stored` that nothing reads any more: whoever needed them has been stored itself.
+def released(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps: Spark keeps them until the driver's JVM collects the plans
+    they belong to, which on a large driver may be long after."""
+    spark.sparkContext._jvm.System.gc()
 
-    The shuffle files of the steps that made them go as well. Spark keeps those until the driver's JVM
-    collects the plans they belong to, which on a large driver may be long after.
-    """
+
+def discarded(first: DataFrame, *others: DataFrame) -> None:
+    """Delete tables made by `stored` that nothing reads any more, and what Spark holds of the steps that made them:
+    whoever needed them has been stored itself."""
     for df in (first, *others):
         for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
             remove(df.sparkSession, folder)
-    first.sparkSession.sparkContext._jvm.System.gc()
+    released(first.sparkSession)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from riskloom.llm.base import apart, discarded, slices, stored, whole_row
+from riskloom.llm.base import apart, discarded, released, slices, stored, whole_row
 from riskloom.llm.components import components
 
 PARAGRAPH, REACH, SHINGLE = 21, 31, 5
@@ -167,7 +167,9 @@ def _similar(docs: DataFrame, met: DataFrame) -> DataFrame:
     texts = _narrow(docs).join(lists, "doc_id").select("doc_id", "text", "wanted")
     entered = stored(texts.mapInArrow(run, "content long, rest long").distinct(), "passages-rests")
     centres = entered.groupBy("rest").agg(F.min("content").alias("b"), F.max("content").alias("hi")).where("b != hi").select("rest", "b")
-    return entered.join(apart(centres, "rest"), "rest").where("content != b").select(F.col("content").alias("a"), "b").distinct()
+    found = stored(entered.join(apart(centres, "rest"), "rest").where("content != b").select(F.col("content").alias("a"), "b").distinct(), "passages-similar")
+    discarded(entered)
+    return found
 
 
 class _Runs:
@@ -279,10 +281,14 @@ def _extents(docs: DataFrame, windows: DataFrame) -> DataFrame:
     who = F.min(F.struct("doc_id", "place", "side", "passage", "size"))
     folded = windows.groupBy("whole").agg(who.alias("who"), F.max("doc_id").alias("hi")).select("whole", "who.*", "hi")
     folded = stored(folded, "passages-folded")
+    released(docs.sparkSession)
     several = folded.groupBy("passage", "side").agg(F.min("doc_id").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n")).where("n > 1 and lo != hi")
     several = several.select(F.xxhash64("passage", "side").alias("key"))
-    asked = folded.withColumn("key", F.xxhash64("passage", "side")).join(apart(several, "key"), "key", "left_semi").drop("key")
+    asked = folded.withColumn("key", F.xxhash64("passage", "side")).join(apart(several, "key"), "key", "left_semi")
+    asked = stored(asked.select("doc_id", "place", "side", "passage", "size", "whole"), "passages-asked")
+    released(docs.sparkSession)
     marks = stored(_prefixes(docs, asked).join(folded.select("whole", "doc_id", "hi", "size"), "whole"), "passages-marks")
+    discarded(asked)
 
     def at(level) -> Column:
         return F.get("marks", level - F.lit(1))
