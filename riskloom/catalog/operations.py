@@ -16,7 +16,7 @@ from riskloom.operators.statistics import histogram
 from riskloom.plans import registry, telemetry
 from riskloom.sources import serving_log, views as v
 from riskloom.sources.scratch import new_folder
-from riskloom.streaming import increment, live
+from riskloom.streaming import increment, live, progress
 
 MARK = "2024-01-10 00:00:00"
 LOG_SECONDS = 20 * 86400
@@ -254,6 +254,24 @@ def stream_increment(spark, d):
     return spark.read.parquet(f"{folder}/results").drop("batch_id")
 
 
+def stream_progress(spark, d):
+    """What the progress table says of a stream over the events: batches and rows."""
+    folder = new_folder(spark, "progress")
+    listener = progress.ProgressRows(spark, f"{folder}/progress")
+    spark.streams.addListener(listener)
+    try:
+        clicks = lambda log: F.col("event_type") == "click"
+        query = increment.start_stream(spark, stream_path(d), f"{folder}/out", f"{folder}/checkpoint", lambda b: b.select("event_id"),
+                                       schema=events(spark, d).schema, condition=clicks)
+        query.awaitTermination()
+        listener.wait(str(query.runId))
+    finally:
+        spark.streams.removeListener(listener)
+    kept = spark.read.parquet(f"{folder}/out").agg(F.count("*")).scalar()
+    mine = progress.history(spark, f"{folder}/progress").filter(F.col("query_id") == str(query.id))
+    return mine.select("batches", "input_rows", kept.alias("kept_rows"), F.col("slowest_ms").isNotNull().alias("is_timed"))
+
+
 def stream_window(spark, d):
     folder = new_folder(spark, "windows")
     stream = live.file_stream(spark, stream_path(d), events(spark, d).schema)
@@ -363,6 +381,8 @@ WHERE ts > TIMESTAMP '{MARK}' AND ts <= (SELECT max(ts) FROM events WHERE event_
     "increment_run": Query(increment_run, preparation.prepared_sql(
         f"SELECT {RESULT_COLUMNS_SQL}, max({SERVED_SQL}) OVER () AS last_processed FROM enc, stats")),
     "stream_increment": Query(stream_increment, preparation.prepared_sql(f"SELECT {RESULT_COLUMNS_SQL} FROM enc, stats")),
+    "stream_progress": Query(stream_progress, """
+SELECT 1::BIGINT AS batches, count(*) AS input_rows, count(*) FILTER (event_type = 'click') AS kept_rows, true AS is_timed FROM events"""),
     "stream_window": Query(stream_window, f"""
 WITH spread AS (SELECT *, event_type <> 'error' AS ok, date_trunc('second', ts) - to_seconds(s) AS window_start FROM events, range(30) r(s)),
 tails AS (SELECT window_start, {', '.join(f"max(CASE WHEN rn = least((n * {p}) // 100 + 1, n) THEN value END) AS p{p}_latency" for p in (95, 99))}

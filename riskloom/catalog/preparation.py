@@ -10,7 +10,8 @@ from riskloom.catalog import relational as rel
 from riskloom.catalog import sql as q
 from riskloom.functions.numeric import rounded
 from riskloom.operators import prep, statistics as st
-from riskloom.sources import generate, tables, views as v
+from riskloom.plans import sql_functions
+from riskloom.sources import generate, serving_log, tables, views as v
 from riskloom.sources.scratch import new_folder
 
 YEAR = v.YEAR
@@ -65,6 +66,19 @@ def transform_object(spark, d):
     return t.select("policy_id", *[rounded(F.col("t")[c], 6).alias(f"{c}_t") for c in fv.MODEL_FEATURE_COLS])
 
 
+def sql_text_functions(spark, d):
+    """The serving log read and transformed by SQL text alone."""
+    inputs = frozen_inputs(spark, d)
+    transform = sql_functions.register_transform(spark, *fitted_preparation(inputs), name="riskloom_transform")
+    log = serving_log.capture(inputs.withColumn(fv.PREDICTION_COL, F.col("estimated_car_value")), query_id=F.col("policy_id"), at=q.AS_OF, function_name="Predict")
+    late = log.withColumn("timestamp", F.timestamp_add("DAY", F.lit(3), F.col("timestamp")))
+    rows = sql_functions.register_log(spark, log.unionByName(late), name="riskloom_log")
+    found = spark.sql(f"""
+SELECT policy_id, t.* FROM (SELECT query_id AS policy_id, {transform}({', '.join(fv.MODEL_INPUT_COLS)}) AS t
+  FROM {rows}(TIMESTAMP_NTZ'2024-01-30 00:00:00', TIMESTAMP_NTZ'{q.AS_OF}', 'predict'))""")
+    return found.withColumns({c: rounded(c, 6) for c in fv.MODEL_FEATURE_COLS})
+
+
 def prepared_sql(select: str) -> str:
     codes = {
         f"codes_{c}": f"SELECT value, row_number() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT {c} AS value FROM input)"
@@ -152,6 +166,8 @@ SELECT l_orderkey, l_linenumber, {', '.join(f'{z(c)} AS {c}' for c in LINE_NUMBE
         f"{q.rounded(f'avg({c})', 9)} AS {c}_mean, {q.rounded(f'stddev_pop({c})', 9)} AS {c}_std" for c in LINE_NUMBERS) + " FROM lineitem"),
     "model_transform": Query(model_transform, prepared_sql(
         f"SELECT policy_id, {', '.join(f'{z(c)} AS {c}' for c in fv.MODEL_FEATURE_COLS)} FROM enc, stats")),
+    "sql_text_functions": Query(sql_text_functions, prepared_sql(
+        f"SELECT policy_id, {', '.join(f'{z(c)} AS {c}' for c in fv.MODEL_FEATURE_COLS)} FROM enc, stats")),
     "transform_object": Query(transform_object, prepared_sql(
         f"SELECT policy_id, {', '.join(f'{z(c)} AS {c}_t' for c in fv.MODEL_FEATURE_COLS)} FROM enc, stats")),
     "regression_metrics": Query(regression_metrics, q.with_(f"""
