@@ -214,9 +214,9 @@ def _wishes(docs: DataFrame, wanted: DataFrame, *fields: str) -> DataFrame:
 
 
 def _windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``doc_id, place, side, passage, size, whole``: the up to `REACH` - 1 words before (side 0) and after (side 1) each wanted paragraph.
+    """``doc_id, place, side, passage, size, first, whole``: the up to `REACH` - 1 words before (side 0) and after (side 1) each wanted paragraph.
 
-    ``wanted`` has ``doc_id, place, content, passage``. ``size`` words are there, and ``whole`` is their hash: equal in one
+    ``wanted`` has ``doc_id, place, content, passage``. ``size`` words are there, ``first`` is the hash of the nearest one and ``whole`` that of all: equal in one
     class and side where the words are.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,32 +231,36 @@ def _windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for side, room in ((0, at), (1, sizes[owner] - at - PARAGRAPH)):
                 some = np.flatnonzero(room)
                 size, sides = np.minimum(room[some], REACH - 1), np.full(len(some), side, np.int32)
-                whole = _beside(runs, (starts[owner] + at)[some], sides, passage[some], size)
+                first, whole = (_beside(runs, (starts[owner] + at)[some], sides, passage[some], n) for n in (np.ones_like(size), size))
                 ids = batch.column("doc_id").take(pa.array(owner[some]))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(at[some].astype(np.int32)), pa.array(sides), pa.array(passage[some]), pa.array(size.astype(np.int32)), _signed(whole)],
-                                                 names=["doc_id", "place", "side", "passage", "size", "whole"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(at[some].astype(np.int32)), pa.array(sides), pa.array(passage[some]), pa.array(size.astype(np.int32)), _signed(first), _signed(whole)],
+                                                 names=["doc_id", "place", "side", "passage", "size", "first", "whole"])
 
-    return _wishes(docs, wanted, "place", "content", "passage").mapInArrow(run, "doc_id long, place int, side int, passage long, size int, whole long")
+    return _wishes(docs, wanted, "place", "content", "passage").mapInArrow(run, "doc_id long, place int, side int, passage long, size int, first long, whole long")
 
 
 def _prefixes(docs: DataFrame, folded: DataFrame) -> DataFrame:
-    """``whole, marks``: for windows told by one place of each, the hashes of their nearest 1, 2, ... words."""
+    """``whole, doc_id, hi, size, marks``: for windows told by one place of each, the hashes of their nearest 1, 2, ... words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _WordHash()
         for batch in slices(batches, "text", 1_000_000):
-            h, sizes, owner, (place, side, passage, size, whole) = _hashed(batch, memory)
-            at, starts, runs = place.astype(np.int64), np.cumsum(sizes) - sizes, _Runs(h)
-            room = np.where(side == 0, at, sizes[owner] - at - PARAGRAPH)
-            fits = np.flatnonzero((size <= room) & (at + PARAGRAPH <= sizes[owner]))
-            start, side, passage, size, whole = (starts[owner] + at)[fits], side[fits], passage[fits], size[fits].astype(np.int64), whole[fits]
-            fits = np.flatnonzero(_beside(runs, start, side, passage, size).view(np.int64) == whole)
-            start, side, passage, size, whole = start[fits], side[fits], passage[fits], size[fits], whole[fits]
+            h, sizes, owner, fields = _hashed(batch, memory)
+            starts, runs = np.cumsum(sizes) - sizes, _Runs(h)
+            place, side, passage, size, whole, hi = fields
+            at = place.astype(np.int64)
+            fits = np.flatnonzero((size <= np.where(side == 0, at, sizes[owner] - at - PARAGRAPH)) & (at + PARAGRAPH <= sizes[owner]))
+            # Repeated rows of one doc_id may differ in text: only those that have the window there are asked.
+            same = _beside(runs, (starts[owner] + at)[fits], side[fits], passage[fits], size[fits].astype(np.int64)).view(np.int64) == whole[fits]
+            fits = fits[same]
+            start, side, passage, size = (starts[owner] + at)[fits], side[fits], passage[fits], size[fits].astype(np.int64)
             ends = np.concatenate(([0], np.cumsum(size)))
             row = np.repeat(np.arange(len(size)), size)
             marks = _beside(runs, start[row], side[row], passage[row], 1 + np.arange(ends[-1]) - ends[row])
-            yield pa.RecordBatch.from_arrays([pa.array(whole), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(marks))], names=["whole", "marks"])
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(marks))
+            yield pa.RecordBatch.from_arrays([pa.array(whole[fits]), batch.column("doc_id").take(pa.array(owner[fits])), pa.array(hi[fits]), pa.array(size.astype(np.int32)), lists],
+                                             names=["whole", "doc_id", "hi", "size", "marks"])
 
-    return _wishes(docs, folded, "place", "side", "passage", "size", "whole").mapInArrow(run, "whole long, marks array<long>")
+    return _wishes(docs, folded, "place", "side", "passage", "size", "whole", "hi").mapInArrow(run, "whole long, doc_id long, hi long, size int, marks array<long>")
 
 
 #: Lengths at which windows are compared first; then the lengths between the last one shared and the next.
@@ -278,16 +282,15 @@ def _extents(docs: DataFrame, windows: DataFrame) -> DataFrame:
     word with an unequal one are compared by their hashes at `LEVELS`, then at the lengths between
     two levels, there with all windows that agree up to the lower one. Two steps whatever the data, no pairs.
     """
-    who = F.min(F.struct("doc_id", "place", "side", "passage", "size"))
+    who = F.min(F.struct("doc_id", "place", "side", "passage", "size", "first"))
     folded = windows.groupBy("whole").agg(who.alias("who"), F.max("doc_id").alias("hi")).select("whole", "who.*", "hi")
     folded = stored(folded, "passages-folded")
     released(docs.sparkSession)
-    several = folded.groupBy("passage", "side").agg(F.min("doc_id").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n")).where("n > 1 and lo != hi")
-    several = several.select(F.xxhash64("passage", "side").alias("key"))
-    asked = folded.withColumn("key", F.xxhash64("passage", "side")).join(apart(several, "key"), "key", "left_semi")
-    asked = stored(asked.select("doc_id", "place", "side", "passage", "size", "whole"), "passages-asked")
+    several = folded.groupBy("first").agg(F.min("doc_id").alias("lo"), F.max("hi").alias("most"), F.count("*").alias("n")).where("n > 1 and lo != most")
+    asked = folded.join(apart(several.select("first"), "first"), "first", "left_semi")
+    asked = stored(asked.select("doc_id", "place", "side", "passage", "size", "whole", "hi"), "passages-asked")
     released(docs.sparkSession)
-    marks = stored(_prefixes(docs, asked).join(folded.select("whole", "doc_id", "hi", "size"), "whole"), "passages-marks")
+    marks = stored(_prefixes(docs, asked), "passages-marks")
     discarded(asked)
 
     def at(level) -> Column:
