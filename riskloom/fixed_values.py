@@ -110,10 +110,10 @@ WATERMARK_START = "1970-01-01 00:00:00"
 PROMOTE, ALERT = "promote_model", "send_alert"
 ALERT_TYPE = "MODEL_QUALITY"
 
-# --- fixed values: message formats -------------------------------------------------------------
-NOTHING_NEW_MESSAGE = "No new inference records to process."
-PROGRESS_MESSAGE = "Processed {rows} rows. Watermark updated to {mark}"
-ALERT_MESSAGE = "Model {version} did not meet promotion criteria. Metrics: {metrics}. Manual review recommended."
+# --- messages of our own -----------------------------------------------------------------------
+NOTHING_NEW_MESSAGE = "The log holds nothing after the mark."
+PROGRESS_MESSAGE = "Processed {rows} rows; the mark is now {mark}"
+ALERT_MESSAGE = "The gate turned {version} down ({metrics}); it stays a candidate until someone has looked at it."
 
 # --- fixed values: display formats (Java date patterns) ----------------------------------------
 DATE_FORMAT = "yyyy-MM-dd"
