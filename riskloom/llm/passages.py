@@ -321,8 +321,10 @@ def _extents(docs: DataFrame, windows: DataFrame) -> DataFrame:
     def most(column: str, side: int) -> Column:
         return F.coalesce(F.max(F.when(F.col("side") == side, F.col(column))), F.lit(0))
 
-    return told.groupBy("doc_id", "place").agg(
-        most("have", 0).alias("before"), most("have", 1).alias("after"), most("gone", 0).alias("gone_before"), most("gone", 1).alias("gone_after"))
+    found = stored(told.groupBy("doc_id", "place").agg(
+        most("have", 0).alias("before"), most("have", 1).alias("after"), most("gone", 0).alias("gone_before"), most("gone", 1).alias("gone_after")), "passages-extents")
+    discarded(ends)
+    return found
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -350,7 +352,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     members = stored(named.join(apart(spread, "passage"), "passage"), "passages-members")
     windows = stored(_windows(docs, members), "passages-windows")
     discarded(named)
-    found = members.join(_extents(docs, windows), ["doc_id", "place"], "left")
+    extents = _extents(docs, windows)
+    discarded(windows)
+    found = members.join(extents, ["doc_id", "place"], "left")
     before, after, gone_before, gone_after = (F.coalesce(F.col(c), F.lit(0)) for c in ("before", "after", "gone_before", "gone_after"))
     gone = F.struct((F.col("place") - gone_before).alias("place"), (gone_before + PARAGRAPH + gone_after).alias("words"))
     return found.select("doc_id", (F.col("place") - before).alias("place"), (before + PARAGRAPH + after).alias("words"), "passage", "first_doc",
