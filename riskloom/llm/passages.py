@@ -166,6 +166,7 @@ def _similar(docs: DataFrame, met: DataFrame) -> DataFrame:
 
     texts = _narrow(docs).join(lists, "doc_id").select("doc_id", "text", "wanted")
     entered = stored(texts.mapInArrow(run, "content long, rest long").distinct(), "passages-rests")
+    released(docs.sparkSession)
     centres = entered.groupBy("rest").agg(F.min("content").alias("b"), F.max("content").alias("hi")).where("b != hi").select("rest", "b")
     found = stored(entered.join(apart(centres, "rest"), "rest").where("content != b").select(F.col("content").alias("a"), "b").distinct(), "passages-similar")
     discarded(entered)
@@ -268,10 +269,13 @@ LEVELS = (1, 2, 4, 8, 12, 16, 20, 24, 28)
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Per window the greatest ``level`` at which another document (``have``) and a smaller one (``gone``) has the ``mark``."""
+    """Per window the greatest ``level`` at which another document (``have``) and a smaller one (``gone``) has the ``mark``, and those marks."""
     groups = rows.groupBy("mark").agg(F.min("doc_id").alias("least"), F.max("hi").alias("most")).where("least != most").drop("most")
     met = rows.join(apart(groups, "mark"), "mark")
-    return met.groupBy("whole").agg(F.max("level").alias("have"), F.max(F.when(F.col("least") < F.col("doc_id"), F.col("level"))).alias("gone"))
+    best, smaller = F.struct("level", "mark"), F.when(F.col("least") < F.col("doc_id"), F.struct("level", "mark"))
+    per = met.groupBy("whole").agg(F.max(best).alias("have"), F.max(smaller).alias("gone"), F.first("doc_id").alias("doc_id"), F.first("hi").alias("hi"), F.first("size").alias("size"))
+    return per.select("whole", "doc_id", "hi", "size", F.col("have.level").alias("have"), F.col("gone.level").alias("gone"),
+                      F.col("have.mark").alias("have_mark"), F.col("gone.mark").alias("gone_mark"))
 
 
 def _extents(docs: DataFrame, windows: DataFrame) -> DataFrame:
@@ -297,24 +301,27 @@ def _extents(docs: DataFrame, windows: DataFrame) -> DataFrame:
         return F.get("marks", level - F.lit(1))
 
     levels = F.filter(F.array(*map(F.lit, LEVELS)), lambda x: x <= F.col("size"))
-    coarse = marks.select("whole", "doc_id", "hi", F.inline(F.transform(levels, lambda x: F.struct(x.alias("level"), at(x).alias("mark")))))
+    coarse = marks.select("whole", "doc_id", "hi", "size", F.inline(F.transform(levels, lambda x: F.struct(x.alias("level"), at(x).alias("mark")))))
     found = stored(_shared(coarse), "passages-coarse")
-    known = marks.join(found, "whole").withColumn("gone", F.coalesce("gone", F.lit(0)))
+    released(docs.sparkSession)
     # Where the search goes on: at the last level shared, unless it is the whole window or nothing.
-    open_ = F.array_distinct(F.array(F.when(F.col("doc_id") == F.col("hi"), F.col("have")), F.when(F.col("gone") > 0, F.col("gone"))))
-    open_ = F.filter(open_, lambda x: x < F.col("size"))
-    places = stored(known.select(F.explode(F.transform(open_, at)).alias("mark")).distinct(), "passages-open")
+    open_ = F.array(F.when((F.col("doc_id") == F.col("hi")) & (F.col("have") < F.col("size")), F.col("have_mark")), F.when(F.col("gone") < F.col("size"), F.col("gone_mark")))
+    places = stored(found.select(F.explode(open_).alias("mark")).where("mark is not null").distinct(), "passages-open")
     above = F.create_map(*[F.lit(x) for pair in zip(LEVELS, (*LEVELS[1:], REACH)) for x in pair])
-    # Only hashes are shuffled to find who takes part; the windows themselves come once, by their name.
+    # Only hashes are shuffled to find who takes part; the windows themselves come once, by their name, and go when the hashes between are stored.
     begun = coarse.select("whole", "level", "mark").join(places, "mark", "left_semi").groupBy("whole").agg(F.collect_set("level").alias("begun"))
+    begun = stored(begun, "passages-begun")
+    released(docs.sparkSession)
     next_ = above[F.col("level")]
     between = F.filter(F.sequence(F.lit(2), F.lit(REACH - 1)), lambda x: (x > F.col("level")) & (x < next_) & (x <= F.col("size")))
     fine = marks.join(begun, "whole").select("whole", "doc_id", "hi", "marks", "size", F.explode("begun").alias("level"))
-    fine = fine.select("whole", "doc_id", "hi", F.inline(F.transform(between, lambda x: F.struct(x.alias("level"), at(x).alias("mark")))))
+    fine = fine.select("whole", "doc_id", "hi", "size", F.inline(F.transform(between, lambda x: F.struct(x.alias("level"), at(x).alias("mark")))))
+    fine = stored(fine, "passages-fine")
+    discarded(marks, places, begun)
     both = found.unionByName(_shared(fine)).groupBy("whole").agg(F.max("have").alias("have"), F.max("gone").alias("gone"))
     have = F.when(F.col("doc_id") < F.col("hi"), F.col("size")).otherwise(F.coalesce("have", F.lit(0)))
     ends = stored(folded.join(both, "whole", "left").select("whole", F.col("doc_id").alias("least"), have.alias("have"), F.coalesce("gone", F.lit(0)).alias("gone")), "passages-ends")
-    discarded(folded, marks, found, places)
+    discarded(folded, found, fine)
     told = windows.join(apart(ends, "whole"), "whole").where("have > 0 or least < doc_id")
     told = told.withColumn("gone", F.when(F.col("least") < F.col("doc_id"), F.col("size")).otherwise(F.col("gone")))
 
@@ -344,6 +351,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     keyed = every.select("doc_id", "place", "content", F.explode(F.array(*[f"key{b}" for b in range(BANDS)])).alias("key"))
     common = keyed.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo != hi").select("key")
     met = stored(keyed.join(apart(common, "key"), "key"), "passages-met")
+    released(docs.sparkSession)
     linked = components(_similar(docs, met))
     named = met.select("doc_id", "place", "content").distinct().join(linked, F.col("content") == F.col("id"), "left")
     named = stored(named.select("doc_id", "place", "content", F.coalesce("component", "content").alias("passage")), "passages-named")
