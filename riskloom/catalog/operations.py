@@ -11,11 +11,12 @@ from riskloom.catalog import relational as rel
 from riskloom.catalog import sql as q
 from riskloom.functions.numeric import rounded
 from riskloom.functions.times import clock
+from riskloom.operators import daily
 from riskloom.operators.ordered import nearest_rank_percentiles
 from riskloom.operators.statistics import histogram
 from riskloom.plans import registry, telemetry
 from riskloom.sources import serving_log, views as v
-from riskloom.sources.scratch import new_folder
+from riskloom.sources.scratch import new_folder, written
 from riskloom.streaming import increment, live, progress
 
 MARK = "2024-01-10 00:00:00"
@@ -311,6 +312,32 @@ RESULT_COLUMNS_SQL = ", ".join([
     *[f"{preparation.z(c)} AS {c}_transformed" for c in fv.NUMERIC_COLS], *[f"{preparation.z(c)} AS {c}" for c in fv.ENCODED_COLS]])
 WHOLE = "round(({})::DECIMAL(28,8), 0)::BIGINT::VARCHAR"
 
+STATE_DAYS = ("2024-01-05", "2024-01-24")
+
+
+def daily_state_range(spark, d):
+    """States of two batches that meet inside a day, merged over twenty days, next to a count of the distinct users."""
+    rows, by = events(spark, d), ("event_type",)
+    batches = [rows.where(f"ts <= TIMESTAMP '{MARK}' + INTERVAL 7 HOUR"), rows.where(f"ts > TIMESTAMP '{MARK}' + INTERVAL 7 HOUR")]
+    first, second = (written(daily.daily_states(b, ts="ts", value="value", distinct="user_id", by=by), "daily-states") for b in batches)
+    merged = daily.merged_states(first.unionByName(second), {f"p{p}": p for p in (50, 95, 99)}, by=by, since=STATE_DAYS[0], until=STATE_DAYS[1])
+    users = rows.where(F.to_date("ts").between(*[F.lit(x).cast("date") for x in STATE_DAYS])).groupBy(*by).agg(F.count_distinct("user_id").alias("users"))
+    near = F.abs(F.col("distinct") - F.col("users")) <= F.greatest(F.lit(1.0), F.col("users") * daily.DISTINCT_ERROR)
+    return merged.join(users, "event_type").select("event_type", "n_rows", "n", F.col("mean"), "lo", "hi", "users", near.alias("distinct_is_near"), "p50", "p95", "p99")
+
+
+# The exact value at each position, found by sorting, moved to the middle of its cell: what merged histograms must give.
+DAILY_STATE_SQL = f"""
+WITH e AS (SELECT event_type, user_id, value::DOUBLE AS v FROM events WHERE ts::DATE BETWEEN DATE '{STATE_DAYS[0]}' AND DATE '{STATE_DAYS[1]}'),
+s AS (SELECT event_type, count(*) AS n_rows, count(v) AS n, sum(v::DECIMAL(28,6))::DOUBLE / nullif(count(v), 0) AS mean, min(v) AS lo, max(v) AS hi,
+  count(DISTINCT user_id) AS users FROM e GROUP BY 1),
+r AS (SELECT event_type, v, row_number() OVER w AS rn, count(*) OVER (PARTITION BY event_type) AS n FROM e WHERE v IS NOT NULL WINDOW w AS (PARTITION BY event_type ORDER BY v)),
+t AS (SELECT event_type, {', '.join(f"max(CASE WHEN rn = least((n * {p}) // 100 + 1, n) THEN v END) AS x{p}" for p in (50, 95, 99))} FROM r GROUP BY 1),
+d AS (SELECT event_type, {', '.join(f"x{p}, pow(2e0, floor(log2(abs(x{p})))) AS d{p}" for p in (50, 95, 99))} FROM t)
+SELECT event_type, n_rows, n, mean, lo, hi, users, true AS distinct_is_near,
+  {', '.join(f"CASE WHEN x{p} IS NULL THEN NULL ELSE least(greatest(CASE WHEN abs(x{p}) < pow(2e0, -{daily.LOWEST}) THEN 0e0 ELSE sign(x{p}) * d{p} * (1 + (floor((abs(x{p}) / d{p} - 1) * {daily.CELLS}) + 0.5e0) / {daily.CELLS}) END, lo), hi) END AS p{p}" for p in (50, 95, 99))}
+FROM s LEFT JOIN d USING (event_type)"""
+
 QUERIES: dict[str, Query] = {
     "log_extract": Query(log_extract, """
 SELECT ts AS timestamp, event_id::VARCHAR AS query_id, 'pricing' AS service_name, 'predict' AS function_name, ts AS request_timestamp,
@@ -394,6 +421,7 @@ SELECT window_start, window_start + INTERVAL 30 SECOND AS window_end, count(*) A
   any_value(p95_latency) AS p95_latency, any_value(p99_latency) AS p99_latency
 FROM spread LEFT JOIN tails USING (window_start)
 GROUP BY window_start HAVING window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 MINUTE FROM events)"""),
+    "daily_state_range": Query(daily_state_range, DAILY_STATE_SQL),
     "stream_latest": Query(stream_latest, """
 SELECT event_id, ts, user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""),
 }
