@@ -24,12 +24,19 @@ LEAF, FAN = 4096, 1024
 _EDGE = 1e-9
 
 
+def _spots() -> tuple[Column, Column]:
+    """Two hashes of id, text and source. Rows are told apart by both and the id: one alone would confuse some of ten billion rows."""
+    values = F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("source").cast("string")
+    return F.xxhash64(*values), F.xxhash64(F.lit("again"), *values)
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """``doc_id, source, size, spot`` for every row; size is the number of words, ``spot`` a hash of the row's own values."""
+    """``doc_id, source, size, spot, again`` for every row; size is the number of words, ``spot`` and ``again`` are two hashes of the row's own values."""
     text = F.col("text").cast("string")
+    spot, again = _spots()
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-                       F.xxhash64(F.col("doc_id").cast("long"), text, F.col("source").cast("string")).alias("spot"))
+                       spot.alias("spot"), again.alias("again"))
 
 
 def targets(sizes: Sequence[tuple[str | None, int]], weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST) -> dict:
@@ -105,7 +112,7 @@ def _round_group(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = 42) -> DataFrame:
-    """``doc_id, size, source_size, target, copies, taken, spot``: how often the mix takes each row of ``docs``.
+    """``doc_id, size, source_size, target, copies, taken, spot, again``: how often the mix takes each row of ``docs``.
 
     Copies times size is taken; no row is taken more than twice. Null texts and texts without words
     have size 0 and are never taken; null sources are one source; rows repeat as they come (rows equal
@@ -124,7 +131,7 @@ def mix(docs: DataFrame, seed: int = 42) -> DataFrame:
         per_source.select(key(F.col("source")).alias("k"), "source_size", "n_docs", "target"), "k")
     wanted = F.when(F.col("source_size") > 0, F.least(F.lit(MOST), F.col("target") / F.col("source_size"))).otherwise(0.0)
     wanted = F.when(F.col("size") > 0, wanted).otherwise(0.0)
-    level = joined.select("k", "doc_id", "spot", "size", "source_size", "target", F.floor(wanted).cast("long").alias("whole"),
+    level = joined.select("k", "doc_id", "spot", "again", "size", "source_size", "target", F.floor(wanted).cast("long").alias("whole"),
                           (wanted - F.floor(wanted)).alias("part"),
                           F.pmod(F.xxhash64(F.lit(seed), "spot"), F.ceil(F.col("n_docs") / LEAF)).alias("bin"))
     done, depth = [], 0
@@ -146,7 +153,7 @@ def mix(docs: DataFrame, seed: int = 42) -> DataFrame:
     for other in done[1:]:
         out = out.unionByName(other)
     copies = (F.col("whole") + F.round("part").cast("long")).alias("copies")
-    return out.select("doc_id", "size", "source_size", "target", copies, (copies * F.col("size")).alias("taken"), "spot")
+    return out.select("doc_id", "size", "source_size", "target", copies, (copies * F.col("size")).alias("taken"), "spot", "again")
 
 
 def mixed(docs: DataFrame, seed: int = 42) -> DataFrame:
@@ -155,7 +162,10 @@ def mixed(docs: DataFrame, seed: int = 42) -> DataFrame:
     Rows equal in id, source and text share their copies: each of them is repeated by the sum over
     its equals, one of them standing for all.
     """
-    taken = mix(docs, seed).where("copies > 0").groupBy("spot").agg(F.sum("copies").cast("int").alias("_copies"))
-    spot = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("source").cast("string"))
-    one = docs.select(whole_row(docs).alias("row"), spot.alias("spot")).join(taken, "spot").dropDuplicates(["spot"])
+    same = ["_id", "spot", "again"]
+    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id")  # the hashes tell an absent id from zero
+    taken = mix(docs, seed).where("copies > 0").groupBy(id_, "spot", "again").agg(F.sum("copies").cast("int").alias("_copies"))
+    spot, again = _spots()
+    rows = docs.select(whole_row(docs).alias("row"), id_, spot.alias("spot"), again.alias("again"))
+    one = rows.join(taken, same).dropDuplicates(same)
     return unwrapped(one.select("row", F.explode(F.sequence(F.lit(1), "_copies"))), docs.columns)

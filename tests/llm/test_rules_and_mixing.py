@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as some
 
@@ -95,6 +96,17 @@ def test_mix(spark, monkeypatch):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mixed(docs.limit(0)).count() == 0
 
 
+def test_rows_with_one_hash_in_common_stay_apart(spark, monkeypatch):
+    """If one of the two hashes were the same for all rows, no document would be lost or taken for another."""
+    again = mixing._spots
+    monkeypatch.setattr(mixing, "_spots", lambda: (F.lit(7).cast("long"), again()[1]))
+    rows = [(i % 50 if i % 7 else None, prose(i, 20), "en", "s") for i in range(200)]
+    docs = frame(spark, rows)
+    got = mixing.mixed(docs).collect()
+    want = {r.again: r.copies for r in mixing.mix(docs).collect()}
+    assert len(want) == 200 and len(got) == sum(want.values()) and len({r.text for r in got}) == sum(c > 0 for c in want.values())
+
+
 URLS = [
     ("http://A.Net/x", "a.net", "/x", "net/", "block"), ("https://net", "net", "", None, None), ("http://x.example.net/en/1?q#f", "x.example.net", "/en/1", "example.net/en/", "allow"),
     ("http://example.net/en", "example.net", "/en", "net/", "block"), ("ftp://q.example.com/de/", "q.example.com", "/de/", "example.com/de/", "block"),
