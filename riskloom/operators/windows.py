@@ -9,15 +9,20 @@ spread over its ticks.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, TimestampType
 
 from riskloom.functions.numeric import exact, ratio
 from riskloom.functions.times import epoch_micros, epoch_seconds, whole_div
-from riskloom.operators.ordered import group_key, nearest_rank, own_shuffle, value_cell
+from riskloom.operators.ordered import group_key, own_shuffle, value_cell
 
 TAILS = {"p95_latency": 95, "p99_latency": 99}
+#: Windows whose ticks one task merges, in window lengths, and the copies of ticks' cells it holds at a time.
+SPAN, COPIES = 8, 2_000_000
 
 
 def tick_values(df: DataFrame, *, ts: str, value: str, by: tuple[str, ...], slide_seconds: int) -> DataFrame:
@@ -34,14 +39,77 @@ def _into_windows(ticks: DataFrame, window_seconds: int, slide_seconds: int) ->
 
 
 def tail_targets(values: DataFrame, percents: dict[str, float], window_seconds: int, slide_seconds: int) -> DataFrame:
-    """``_group, window_start, which, _cell, _offset``: the cell of each wanted position of each window, and the position inside it."""
+    """``_group, window_start, which, _cell, _offset``: the cell of each wanted position of each window, and the position inside it.
+
+    The ticks of a span of windows meet in one task, so that a tick travels once or twice and not once per window; their
+    histograms are merged there, a bounded number of copies at a time.
+    """
+    ticks = (window_seconds - slide_seconds) // slide_seconds + 1
+    span = SPAN * ticks
     cells = values.groupBy("_group", "_tick", "_cell").agg(F.sum("_rows").alias("_rows"))
-    merged = _into_windows(cells, window_seconds, slide_seconds).groupBy("_group", "window_start", "_cell").agg(F.sum("_rows").alias("_rows"))
-    one = W.partitionBy("_group", "window_start")
-    placed = merged.withColumn("_end", F.sum("_rows").over(one.orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow))).withColumn("n", F.sum("_rows").over(one))
-    wanted = F.array(*[F.struct(F.lit(i).alias("which"), nearest_rank(p).alias("_position")) for i, p in enumerate(percents.values())])
-    placed = placed.select("_group", "window_start", "_cell", (F.col("_end") - F.col("_rows")).alias("_start"), "_end", F.inline(wanted))
-    return placed.filter("_position >= _start AND _position < _end").select("_group", "window_start", "which", "_cell", (F.col("_position") - F.col("_start")).alias("_offset"))
+    # A zoned timestamp repeats an hour on its own clock; its instants do not.
+    zoned = isinstance(values.schema["_tick"].dataType, TimestampType)
+    number = whole_div(F.unix_seconds("_tick") if zoned else epoch_seconds("_tick"), slide_seconds)
+    at = F.pmod(number, F.lit(span)).cast("int")
+    # The span that a tick lies in, and the one before, of which the last windows reach into this one.
+    spans = F.array_compact(F.array(F.struct(F.lit(0).alias("_back"), at.alias("_at")), F.when(at < ticks - 1, F.struct(F.lit(span).alias("_back"), (at + span).alias("_at")))))
+    placed = cells.select("_group", "_tick", "_cell", "_rows", at.alias("_in"), F.inline(spans)).select(
+        "_group", F.timestamp_add("SECOND", -(F.col("_in") + F.col("_back")) * slide_seconds, F.col("_tick")).alias("_from"), "_at", F.col("_cell").cast("int").alias("_cell"), "_rows")
+    schema = StructType([placed.schema["_group"], placed.schema["_from"], *StructType.fromDDL("_window int, which int, _cell int, _offset bigint").fields])
+    found = placed.groupBy("_group", "_from").applyInArrow(_places(ticks, span, list(percents.values()), COPIES), schema)
+    return found.select("_group", F.timestamp_add("SECOND", F.col("_window") * slide_seconds, F.col("_from")).alias("window_start"), "which", "_cell", "_offset")
+
+
+def _places(ticks: int, span: int, percents: list[float], most: int):
+    """Of one span: which cell of each window holds each wanted position, and at what place."""
+
+    def run(table: pa.Table) -> pa.Table:
+        at, cell, rows = (table.column(c).to_numpy() for c in ("_at", "_cell", "_rows"))
+        order = np.argsort(at, kind="stable")
+        at, cell, rows = at[order], cell[order], rows[order]
+        found = []
+        low = max(0, int(at[0]) - ticks + 1)
+        while low < span and low <= at[-1]:
+            # As many windows as keep the copies of the rows within bounds, one at least.
+            first = np.searchsorted(at, low)
+            high = min(span, max(low + 1, int(at[min(first + most // ticks, len(at) - 1)]) - ticks + 2))
+            near = slice(first, np.searchsorted(at, high + ticks - 1))
+            if near.stop > near.start:
+                found.append(_places_of(low, high, at[near], cell[near], rows[near]))
+            low = high
+        windows, which, cells, offsets = (np.concatenate([f[i] for f in found]) for i in range(4))
+        keys = table.select(["_group", "_from"]).slice(0, 1).take(pa.array(np.zeros(len(windows), np.int64)))
+        columns = [pa.array(windows.astype(np.int32)), pa.array(which.astype(np.int32)), pa.array(cells), pa.array(offsets)]
+        return pa.table([*keys.columns, *columns], names=["_group", "_from", "_window", "which", "_cell", "_offset"])
+
+    def _places_of(low: int, high: int, at: np.ndarray, cell: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        by_cell = np.argsort(cell, kind="stable")
+        at, cell, rows = at[by_cell], cell[by_cell], rows[by_cell]
+        start = np.maximum(at - (ticks - 1), low)
+        copies = np.minimum(at, high - 1) - start + 1
+        source = np.repeat(np.arange(len(at)), copies)
+        window = start[source] - low + np.arange(len(source)) - np.repeat(np.cumsum(copies) - copies, copies)
+        # Rows are in the order of cells; a stable sort by window keeps it.
+        by_window = np.argsort(window.astype(np.uint16) if high - low <= 1 << 16 else window, kind="stable")
+        source, window = source[by_window], window[by_window]
+        cell, end = cell[source], np.cumsum(rows[source])
+        begins = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
+        lasts = np.r_[begins[1:], len(window)] - 1
+        before = np.r_[0, end[lasts[:-1]]]
+        n = end[lasts] - before
+        # The first row of each run of equal cells in a window: what comes before it is before the cell.
+        run = np.r_[True, (window[1:] != window[:-1]) | (cell[1:] != cell[:-1])]
+        run_start = np.maximum.accumulate(np.where(run, np.arange(len(run)), 0))
+        out = []
+        for i, p in enumerate(percents):
+            position = np.minimum(n * int(p) // 100 if float(p).is_integer() else np.floor(n * float(p) / 100).astype(np.int64), n - 1)
+            hit = np.searchsorted(end, before + position, side="right")
+            head = run_start[hit]
+            reached = np.where(head > 0, end[head - 1], 0)
+            out.append((window[hit] + low, np.full(len(hit), i), cell[hit], before + position - reached))
+        return tuple(np.concatenate([o[i] for o in out]) for i in range(4))
+
+    return run
 
 
 def values_of_targets(values: DataFrame, targets: DataFrame, percents: dict[str, float], window_seconds: int, slide_seconds: int) -> DataFrame:

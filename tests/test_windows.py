@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from riskloom.operators import windows
@@ -48,6 +49,32 @@ def test_tails_of_sliding_windows(spark):
     assert len(got) == len(want) > 20
 
 
+def test_histograms_travel_by_span_and_not_by_window(spark):
+    rows = spark.createDataFrame(dense(4, 300, 400), SCHEMA).filter("ok")
+    values = windows.tick_values(rows, ts="ts", value="value", by=("kind",), slide_seconds=1)
+    plan = windows.tail_targets(values, windows.TAILS, 30, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan and "explode(" not in plan  # a copy of each histogram for every window
+
+
+def test_windows_of_a_span_are_the_same_however_few_copies_are_held():
+    draw = random.Random(5)
+    ticks, span = 5, 40
+    rows = sorted({(draw.choice([1, 2, 3, 30, 31, 43, draw.randrange(span + ticks - 1)]), draw.randrange(-3, 4)) for _ in range(120)})
+    many = [draw.randrange(1, 6) for _ in rows]
+    table = pa.table({"_group": pa.array([{"_": 0}] * len(rows)), "_from": pa.array([T0] * len(rows)), "_at": pa.array([t for t, _ in rows], pa.int32()),
+                      "_cell": pa.array([c for _, c in rows], pa.int32()), "_rows": pa.array(many, pa.int64())}).take(pa.array(draw.sample(range(len(rows)), len(rows))))
+    want = set()
+    for window in range(span):
+        cells = sorted(c for (t, c), n in zip(rows, many) if window <= t < window + ticks for _ in range(n))
+        for which, p in enumerate((50, 99.5)):
+            if cells:
+                position = min(int(len(cells) * p / 100), len(cells) - 1)
+                want.add((window, which, cells[position], position - cells.index(cells[position])))
+    for most in (1, 20, 10_000):
+        got = windows._places(ticks, span, [50, 99.5], most)(table).to_pydict()
+        assert len(got["which"]) == len(want) and set(zip(got["_window"], got["which"], got["_cell"], got["_offset"])) == want
+
+
 def test_sliding_stats_without_successes_have_no_tails(spark):
     rows = [(1, "a", T0, False, 5.0), (2, "a", T0 + timedelta(seconds=100), True, 7.0), (3, "a", T0 + timedelta(seconds=100), True, None)]
     got = sliding_window_stats(spark.createDataFrame(rows, SCHEMA), ts="ts", succeeded=F.col("ok"), latency="value", by=("kind",))
