@@ -32,7 +32,7 @@ def tick_values(df: DataFrame, *, ts: str, value: str, by: tuple[str, ...], slid
     return counts.withColumn("_cell", value_cell(F.col("_value")))
 
 
-def _into_windows(ticks: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
+def into_windows(ticks: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
     """A copy of each row for every window that covers its tick."""
     steps = F.explode(F.sequence(F.lit(0), F.lit(window_seconds - slide_seconds), F.lit(slide_seconds)))
     return ticks.select("*", steps.alias("_step")).withColumn("window_start", F.timestamp_add("SECOND", -F.col("_step"), F.col("_tick"))).drop("_step")
@@ -60,6 +60,13 @@ def tail_targets(values: DataFrame, percents: dict[str, float], window_seconds:
     return found.select("_group", F.timestamp_add("SECOND", F.col("_window") * slide_seconds, F.col("_from")).alias("window_start"), "which", "_cell", "_offset")
 
 
+def _in_utc(kind: pa.DataType) -> pa.DataType:
+    """The type Spark wants back: instants come to a task in the session's zone and must return in UTC."""
+    if pa.types.is_struct(kind):
+        return pa.struct([f.with_type(_in_utc(f.type)) for f in kind])
+    return pa.timestamp("us", tz="UTC") if pa.types.is_timestamp(kind) and kind.tz else kind
+
+
 def _places(ticks: int, span: int, percents: list[float], most: int):
     """Of one span: which cell of each window holds each wanted position, and at what place."""
 
@@ -79,6 +86,7 @@ def _places(ticks: int, span: int, percents: list[float], most: int):
             low = high
         windows, which, cells, offsets = (np.concatenate([f[i] for f in found]) for i in range(4))
         keys = table.select(["_group", "_from"]).slice(0, 1).take(pa.array(np.zeros(len(windows), np.int64)))
+        keys = keys.cast(pa.schema([f.with_type(_in_utc(f.type)) for f in keys.schema]))
         columns = [pa.array(windows.astype(np.int32)), pa.array(which.astype(np.int32)), pa.array(cells), pa.array(offsets)]
         return pa.table([*keys.columns, *columns], names=["_group", "_from", "_window", "which", "_cell", "_offset"])
 
@@ -126,7 +134,7 @@ def values_of_targets(values: DataFrame, targets: DataFrame, percents: dict[str,
     reach = reach.groupBy("_group", "_block").agg(F.collect_list(F.struct("_low", "_high")).alias("_reach"))
     near = values.withColumn("_block", block(F.col("_tick"))).join(reach, ["_group", "_block"])
     near = near.filter(F.exists("_reach", lambda r: F.col("_cell").between(r["_low"], r["_high"]))).select("_group", "_tick", "_cell", "_value", "_rows")
-    hits = _into_windows(near, window_seconds, slide_seconds).join(targets, ["_group", "window_start", "_cell"])
+    hits = into_windows(near, window_seconds, slide_seconds).join(targets, ["_group", "window_start", "_cell"])
     hits = hits.groupBy("_group", "window_start", "which", "_offset", "_value").agg(F.sum("_rows").alias("_rows"))
     upto = W.partitionBy("_group", "window_start", "which").orderBy("_value").rowsBetween(W.unboundedPreceding, W.currentRow)
     found = hits.withColumn("_reached", F.sum("_rows").over(upto)).filter("_reached > _offset AND _reached - _rows <= _offset")

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.functions.numeric import exact, ratio
-from riskloom.functions.times import instant
 from riskloom.operators.latest import latest_per_key
-from riskloom.operators.ordered import group_key, nearest_rank, value_cell
-from riskloom.operators.windows import TAILS, tick_values, values_of_targets
-from riskloom.sources.tables import exists
+from riskloom.operators.ordered import group_key, value_cell
+from riskloom.operators.windows import TAILS, into_windows, tail_targets, tick_values, values_of_targets
+from riskloom.sources.tables import exists, remove
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -22,77 +21,87 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
 
 
 def window_stats(
-    stream: DataFrame, *, ts: str, succeeded: Column, latency: str, window: str = "30 seconds",
-    slide: str = "1 second", lateness: str = "1 minute", percents: dict[str, float] = TAILS,
+    stream: DataFrame, *, ts: str, succeeded: Column, latency: str, slide: str = "1 second", lateness: str = "1 minute",
 ) -> DataFrame:
-    """Sliding-window totals and latencies of a stream, complete once the watermark passes a window.
+    """What `write_windows` merges into sliding windows: finished ticks of ``slide``, summed per value cell.
 
-    Two chained windows: rows are summed per tick of ``slide`` and value cell first, and only finished tick sums are
-    copied into the windows that cover them (30 for the defaults; the rows themselves never are). The
-    state holds a histogram of cells, however many rows a window has. ``tails`` says for each of
-    ``percents`` in which cell the wanted value lies and at what place inside it; `with_tails` reads the value itself.
+    The state holds one histogram per unfinished tick, however many rows a tick has and however many windows cover it. Beside every
+    row a mark goes in, a tick before the watermark that the row brings: the last mark to come out says up to where all ticks
+    are finished, also where there are no rows. Marks have no rows of their own (``_n`` is 0).
     The event time must be a TIMESTAMP: a zone-free one cannot carry a watermark, so it is cast.
     """
-    timed = stream.withColumn("_time", F.col(ts).cast("timestamp")).withWatermark("_time", lateness)
-    good = F.col("_ok")
+    time = F.col(ts).cast("timestamp")
+    mark = F.date_trunc("millisecond", time) - F.expr(f"INTERVAL {lateness}") - F.expr(f"INTERVAL {slide}")
+    both = F.array(F.struct(time.alias("_time"), F.lit(1).alias("_row")), F.struct(mark.alias("_time"), F.lit(0).alias("_row")))
+    timed = stream.select("*", F.inline(both)).withWatermark("_time", lateness)
+    good = (F.col("_row") == 1) & F.col("_ok")
     cell = F.when(good & ~F.isnan(F.col(latency).cast("double")), value_cell(F.col(latency)))
-    ticks = timed.withColumn("_ok", succeeded).withColumn("_cell", cell).groupBy(F.window("_time", slide).alias("_tick"), "_cell").agg(
-        F.count("*").alias("_n"), F.count_if(good).alias("_good"),
+    ticks = timed.withColumn("_ok", succeeded).withColumn("_cell", cell).groupBy(F.window("_time", slide).alias("_w"), "_cell").agg(
+        F.count_if(F.col("_row") == 1).alias("_n"), F.count_if(good).alias("_good"),
         F.sum(F.when(good, exact(latency, 6))).alias("_sum"), F.max(F.when(good, F.col(latency))).alias("_max"))
-    in_cell = F.when(F.col("_cell").isNotNull(), F.struct(F.col("_cell").alias("cell"), F.col("_good").alias("n")))
-    grouped = ticks.groupBy(F.window(F.window_time("_tick"), window, slide).alias("_w")).agg(
-        F.sum("_n").alias("total"), F.sum("_good").alias("successful"), F.sum("_sum").alias("_sum"), F.max("_max").alias("max_latency"),
-        F.sort_array(F.collect_list(in_cell)).alias("_cells"))
-    grouped = grouped.withColumn("n", F.aggregate("_cells", F.lit(0).cast("bigint"), lambda s, x: s + x["n"]))
-    return grouped.select(
-        F.col("_w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("_w.end").cast("timestamp_ntz").alias("window_end"), "total", "successful",
-        ratio(F.col("successful") * 100, "total").alias("success_rate"),
-        ratio(F.col("_sum").cast("double"), "successful", None).alias("avg_latency"), "max_latency",
-        F.array(*[_place_in_cell(nearest_rank(p)) for p in percents.values()]).alias("tails"))
-
-
-def _place_in_cell(position: Column) -> Column:
-    """``(cell, offset)`` of a position in the histogram ``_cells``, which is sorted and may name a cell several times."""
-    def step(state: Column, x: Column) -> Column:
-        seen = state["seen"] + x["n"]
-        return F.struct(seen.alias("seen"), F.when(state["cell"].isNull() & (seen > position), x["cell"]).otherwise(state["cell"]).alias("cell"))
+    return ticks.select(F.col("_w.start").alias("_tick"), F.col("_w.end").alias("_end"), "_cell", "_n", "_good", "_sum", "_max")
 
-    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("int").alias("cell"))
-    cell = F.aggregate("_cells", start, step)["cell"]
-    before = F.aggregate(F.filter("_cells", lambda x: x["cell"] < cell), F.lit(0).cast("bigint"), lambda s, x: s + x["n"])
-    return F.struct(cell.alias("cell"), (position - before).alias("offset"))
 
-
-def with_tails(
-    windows: DataFrame, rows: DataFrame, *, ts: str, succeeded: Column, latency: str, window_seconds: int = 30, slide_seconds: int = 1,
+def merged_windows(
+    ticks: DataFrame, rows: DataFrame, after: Column, upto: Column, *, ts: str, succeeded: Column, latency: str, window_seconds: int = 30, slide_seconds: int = 1,
     percents: dict[str, float] = TAILS,
 ) -> DataFrame:
-    """Finished windows with the values their ``tails`` point to, read from the stored ``rows`` of the same stream.
+    """The windows that end later than ``after`` and not later than ``upto``, from all their finished ticks, with exact tails.
 
-    Only rows of the cells that a window asks for are looked at. A row that came too late for its
-    windows is among the stored rows all the same; the value can then be another one of its cell, a thousandth away at most.
+    Which cell a tail lies in, and at what place, comes from the ticks; the value itself is read from the stored ``rows`` of the same
+    stream. A row that came too late for its windows is among the stored rows all the same; the value can then be another
+    one of its cell, a thousandth away at most.
     """
+    def in_reach(df: DataFrame) -> DataFrame:
+        end = F.timestamp_add("SECOND", F.lit(window_seconds), F.col("window_start"))
+        return df.filter((end > after) & (end <= upto))
+
+    ticks = ticks.filter("_n > 0")
+    sums = ticks.groupBy("_tick").agg(F.sum("_n").alias("_n"), F.sum("_good").alias("_good"), F.sum("_sum").alias("_sum"), F.max("_max").alias("_max"))
+    stats = in_reach(into_windows(sums, window_seconds, slide_seconds)).groupBy("window_start").agg(
+        F.sum("_n").alias("total"), F.sum("_good").alias("successful"), F.sum("_sum").alias("_sum"), F.max("_max").alias("max_latency"))
+    stats = stats.select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.timestamp_add("SECOND", F.lit(window_seconds), F.col("window_start")).cast("timestamp_ntz").alias("window_end"), "total", "successful",
+        ratio(F.col("successful") * 100, "total").alias("success_rate"),
+        ratio(F.col("_sum").cast("double"), "successful", None).alias("avg_latency"), "max_latency")
     group = group_key([])
-    targets = windows.select(group.alias("_group"), "window_start", F.posexplode("tails").alias("which", "_t")).filter("_t.cell IS NOT NULL").select(
-        "_group", "window_start", "which", F.col("_t.cell").alias("_cell"), F.col("_t.offset").alias("_offset"))
+    cells = ticks.filter("_cell IS NOT NULL").select(group.alias("_group"), "_tick", "_cell", F.col("_good").alias("_rows"))
+    targets = in_reach(tail_targets(cells, percents, window_seconds, slide_seconds))
+    targets = targets.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
     values = tick_values(rows.filter(succeeded), ts=ts, value=latency, by=[], slide_seconds=slide_seconds)
     found = values_of_targets(values, targets, percents, window_seconds, slide_seconds).drop("_group")
-    return windows.drop("tails").join(found, "window_start", "left")
+    return stats.join(found, "window_start", "left")
 
 
 def write_windows(stats: DataFrame, path: str, checkpoint: str, rows: DataFrame, every: str | None = None, *, ts: str, **how) -> StreamingQuery:
     """Keep finished windows with their exact tails: one folder per batch, replaced when the batch is repeated.
 
-    ``rows`` is the stream's source as a table; a batch reads the stretch of time of its own windows."""
+    ``stats`` is what `window_stats` gives, ``rows`` the stream's source as a table; a batch reads the stretch of time of its own
+    windows. Finished ticks that later windows reach back to are kept beside the checkpoint."""
+    spark, kept, second = stats.sparkSession, f"{checkpoint}-ticks", 1_000_000
+    reach = how.get("window_seconds", 30) * second
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            low, high = batch.agg(F.min("window_start"), F.max("window_end")).first()
-            if low is not None:
-                part = rows.filter((F.col(ts) >= instant(low)) & (F.col(ts) < instant(high)))
-                with_tails(batch, part, ts=ts, **how).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            last, first = batch.agg(F.unix_micros(F.max("_end")), F.unix_micros(F.min("_tick"))).first()
+            if last is None:
+                return
+            known = [r[0] for r in spark.read.parquet(kept).select("batch_id").distinct().collect()] if exists(spark, kept) else []
+            before = max((b for b in known if b < batch_id), default=None)
+            ticks, after = batch, first
+            if before is not None:
+                earlier = spark.read.parquet(f"{kept}/batch_id={before}")
+                after = earlier.agg(F.unix_micros(F.max("_end"))).first()[0]
+                ticks = earlier.unionByName(batch)
+            at = lambda micros: F.timestamp_micros(F.lit(micros))
+            part = rows.filter((F.col(ts) >= at(after - reach).cast("timestamp_ntz")) & (F.col(ts) < at(last).cast("timestamp_ntz")))
+            merged_windows(ticks, part, at(after), at(last), ts=ts, **how).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            ticks.filter(F.col("_tick") > at(last - reach)).write.mode("overwrite").parquet(f"{kept}/batch_id={batch_id}")
+            for old in known:
+                if before is not None and old < before:
+                    remove(spark, f"{kept}/batch_id={old}")
         finally:
             batch.unpersist()
 

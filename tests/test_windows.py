@@ -136,3 +136,27 @@ def test_stream_tails_over_several_batches(spark):
             if ok and real(value):
                 both[1].append(value)
     assert got == {k: (n, nearest(v, 95), nearest(v, 99)) for k, (n, v) in want.items()}
+
+
+def test_a_stream_keeps_ticks_as_state_and_goes_on_after_a_restart(spark):
+    folder = new_folder(spark, "restart")
+    rows = [(i, "a", T0 + timedelta(seconds=7 * i, milliseconds=i), i % 3 > 0, float(i % 11)) for i in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    how = {"ts": "ts", "succeeded": F.col("ok"), "latency": "value"}
+    state = 0
+    for low, high in ((0, 50), (50, 51), (51, 120)):
+        df.filter((F.col("id") >= low) & (F.col("id") < high)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stats = live.window_stats(live.file_stream(spark, f"{folder}/in", df.schema), **how)
+        query = live.write_windows(stats, f"{folder}/out", f"{folder}/cp", df, **how)
+        query.awaitTermination()
+        state = max([state] + [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in query.recentProgress])
+    assert state <= 3 * len(rows)  # not a row for each of a tick's thirty windows
+    got = [tuple(r) for r in spark.read.parquet(f"{folder}/out").select("window_start", "total", "successful", "max_latency", "p95_latency", "p99_latency").collect()]
+    want, finished = {}, rows[-1][2] - timedelta(minutes=1)
+    for _, _, at, ok, value in rows:
+        for back in range(30):
+            start = at.replace(microsecond=0) - timedelta(seconds=back)
+            if start + timedelta(seconds=30) <= finished:
+                want.setdefault(start, []).append(value if ok else None)
+    good = {k: [x for x in v if x is not None] for k, v in want.items()}
+    assert sorted(got) == sorted((k, len(v), len(good[k]), max(good[k], default=None), nearest(good[k], 95), nearest(good[k], 99)) for k, v in want.items())
