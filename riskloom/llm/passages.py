@@ -29,20 +29,73 @@ PARAGRAPH, REACH, SHINGLE = 21, 31, 5
 SHINGLES = PARAGRAPH - SHINGLE + 1
 #: Bands of one minimum each. Unequal paragraphs that qualify agree in 16 of 18 shingles, so one band misses 1 in 9 of them and two miss 1 in 81.
 BANDS = 2
-REMEMBERED = 300_000
+#: Words of 64 bits in the map of the documents that something is wanted of.
+MAP_WORDS = 1 << 18
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P2 = np.uint64(0x9E3779B97F4A7C15 ** 2 % 2 ** 64)
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-class _WordHash(dict):
-    """Word to 64-bit hash; forgets everything when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = mark = xxhash.xxh64_intdigest(word)
-        return mark
+_BYTES = np.arange(256, dtype=np.uint8)
+_LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + np.uint8(32), _BYTES)
+_INSIDE = (_BYTES != 32) & ((_BYTES < 9) | (_BYTES > 13))
+#: The primes of XXH64.
+_X1, _X2, _X3, _X4, _X5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+#: From this length on XXH64 goes another way.
+LONG_WORD = 32
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def _eight(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; ``text`` holds the bytes in eights."""
+    skip, at = ((at & 7) << 3).astype(np.uint64), at >> 3
+    return (text.take(at) >> skip) | ((text.take(at + 1) << np.uint64(1)) << (np.uint64(63) - skip))
+
+
+class _WordHash:
+    """XXH64 of every lower-cased word of some texts, all words at a time, and how many words each text has."""
+
+    def __call__(self, texts: pa.Array | list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        data = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_binary())).cast(pa.large_binary()).fill_null(b"")
+        _, bounds, raw = data.buffers()
+        bounds = np.frombuffer(bounds, np.int64, len(data) + 1, 8 * data.offset)
+        raw = np.frombuffer(raw or b"", np.uint8)[bounds[0]:bounds[-1]]
+        bounds = bounds - bounds[0]
+        n = len(raw)
+        lower = np.zeros(n // 8 * 8 + 24, np.uint8)
+        _LOWER.take(raw, out=lower[:n])
+        inside = np.zeros(n + 2, bool)
+        _INSIDE.take(raw, out=inside[1:-1])
+        bound = np.zeros(n + 1, bool)
+        bound[bounds] = True
+        starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | bound[:-1]))
+        ends = np.flatnonzero(inside[1:-1] & (~inside[2:] | bound[1:])) + 1
+        return self._hashes(lower, starts, ends), np.diff(np.searchsorted(starts, bounds))
+
+    @staticmethod
+    def _hashes(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        text, size = lower.view("<u8"), ends - starts
+        h = _X5 + size.astype(np.uint64)
+        for i in range(LONG_WORD // 8 - 1):
+            some = np.flatnonzero(size >= 8 * (i + 1))
+            h[some] = _turned(h[some] ^ (_turned(_eight(text, starts[some] + 8 * i) * _X2, 31) * _X1), 27) * _X1 + _X4
+        rest = _eight(text, starts + (np.minimum(size, LONG_WORD - 1) & ~7))
+        some = np.flatnonzero(size & 4)
+        part = rest[some]
+        h[some] = _turned(h[some] ^ ((part & np.uint64(0xFFFFFFFF)) * _X1), 23) * _X2 + _X3
+        rest[some] = part >> np.uint64(32)
+        for i in range(3):
+            some = np.flatnonzero((size & 3) > i)
+            h[some] = _turned(h[some] ^ (((rest[some] >> np.uint64(8 * i)) & np.uint64(255)) * _X5), 11) * _X1
+        h = (h ^ (h >> np.uint64(33))) * _X2
+        h = (h ^ (h >> np.uint64(29))) * _X3
+        h ^= h >> np.uint64(32)
+        for i in np.flatnonzero(size >= LONG_WORD).tolist():
+            h[i] = xxhash.xxh64_intdigest(lower[starts[i]:ends[i]].tobytes())
+        return h
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -72,10 +125,8 @@ def _content(h: np.ndarray, start: np.ndarray) -> np.ndarray:
 class _Paragraphs:
     """The paragraphs of some texts: owner, place (words before it), content hash, band keys, and where they start in the joined words."""
 
-    def __init__(self, texts: list[bytes | None], memory: _WordHash) -> None:
-        words = [(t or b"").lower().split() for t in texts]
-        sizes = np.array([len(w) for w in words], np.int64)
-        h = np.fromiter((memory[x] for w in words for x in w), np.uint64, int(sizes.sum()))
+    def __init__(self, texts: pa.Array | list[bytes | None], hashes: _WordHash) -> None:
+        h, sizes = hashes(texts)
         self.shingles = np.empty(0, np.uint64)
         n = len(h)
         if n <= REACH:  # of the whole slice; what one text must have is checked below
@@ -120,9 +171,9 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memory = _WordHash()
+    hashes = _WordHash()
     for batch in slices(batches, "text"):
-        p = _Paragraphs(batch.column("text").cast(pa.binary()).to_pylist(), memory)
+        p = _Paragraphs(batch.column("text"), hashes)
         if len(p.start):
             ids = batch.column("doc_id").take(pa.array(p.owner))
             yield pa.RecordBatch.from_arrays([ids, pa.array(p.place.astype(np.int32)), _signed(p.content), *map(_signed, p.keys)],
@@ -133,6 +184,17 @@ def _narrow(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``docs``: all whose doc_id is in ``wanted``, and few others, so that the other texts are not shuffled to find out.
+
+    A map of bits of bounded size tells, which every task gets; with more ids than bits it says little, and the join that follows is exact.
+    """
+    spot = F.xxhash64("doc_id")
+    word, bit = spot.bitwiseAND(F.lit(MAP_WORDS - 1)).alias("word"), F.shiftrightunsigned(spot, 58).cast("int")
+    words = wanted.select(word, F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return docs.select("*", word).join(F.broadcast(words), "word").where(F.getbit("bits", bit) == 1).select(*docs.columns)
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
     """``doc_id, place, content, key0, key1``: every paragraph of every text."""
     keys = ", ".join(f"key{b} long" for b in range(BANDS))
@@ -148,13 +210,14 @@ def _similar(docs: DataFrame, met: DataFrame) -> DataFrame:
     come from the first text that holds the paragraph; other texts stay out of it.
     """
     several = met.groupBy("key").agg(F.min("content").alias("lo"), F.max("content").alias("hi")).where("lo != hi").select("key")
-    wanted = met.join(apart(several, "key"), "key", "left_semi").groupBy("content").agg(F.min("doc_id").alias("doc_id"))
+    wanted = stored(met.join(apart(several, "key"), "key", "left_semi").groupBy("content").agg(F.min("doc_id").alias("doc_id")), "passages-wanted")
+    released(docs.sparkSession)
     lists = wanted.groupBy("doc_id").agg(F.collect_set("content").alias("wanted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _WordHash()
+        hashes = _WordHash()
         for batch in slices(batches, "text"):
-            p = _Paragraphs(batch.column("text").cast(pa.binary()).to_pylist(), memory)
+            p = _Paragraphs(batch.column("text"), hashes)
             asked = batch.column("wanted")
             marks = np.asarray(asked.flatten(), np.int64).view(np.uint64)
             owner = np.repeat(np.arange(batch.num_rows), np.asarray(pa.compute.list_value_length(asked)))
@@ -164,9 +227,9 @@ def _similar(docs: DataFrame, met: DataFrame) -> DataFrame:
                 gone = p.deletions(which)
                 yield pa.RecordBatch.from_arrays([_signed(np.repeat(p.content[which], SHINGLES)), _signed(np.ascontiguousarray(gone.ravel()))], names=["content", "rest"])
 
-    texts = _narrow(docs).join(lists, "doc_id").select("doc_id", "text", "wanted")
+    texts = _among(_narrow(docs), wanted).join(lists, "doc_id").select("doc_id", "text", "wanted")
     entered = stored(texts.mapInArrow(run, "content long, rest long").distinct(), "passages-rests")
-    released(docs.sparkSession)
+    discarded(wanted)
     centres = entered.groupBy("rest").agg(F.min("content").alias("b"), F.max("content").alias("hi")).where("b != hi").select("rest", "b")
     found = stored(entered.join(apart(centres, "rest"), "rest").where("content != b").select(F.col("content").alias("a"), "b").distinct(), "passages-similar")
     discarded(entered)
@@ -197,11 +260,9 @@ def _beside(run: _Runs, start: np.ndarray, side: np.ndarray, passage: np.ndarray
     return run(np.where(side == 0, start - words, start + PARAGRAPH), words, key)
 
 
-def _hashed(batch: pa.RecordBatch, memory: _WordHash) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+def _hashed(batch: pa.RecordBatch, hashes: _WordHash) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """Of texts and what is wanted of them (a list of structs each): word hashes, words per text, owner of each wish, and the wishes' fields."""
-    words = [(t or b"").lower().split() for t in batch.column("text").cast(pa.binary()).to_pylist()]
-    sizes = np.array([len(w) for w in words], np.int64)
-    h = np.fromiter((memory[x] for w in words for x in w), np.uint64, int(sizes.sum()))
+    h, sizes = hashes(batch.column("text"))
     asked = batch.column("wanted")
     flat = asked.flatten()
     fields = [np.asarray(flat.field(i)) for i in range(flat.type.num_fields)]
@@ -211,7 +272,7 @@ def _hashed(batch: pa.RecordBatch, memory: _WordHash) -> tuple[np.ndarray, np.nd
 def _wishes(docs: DataFrame, wanted: DataFrame, *fields: str) -> DataFrame:
     """The texts that something is wanted of, with the list of it; a list is bounded by the text's own length."""
     lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct(*fields)).alias("wanted"))
-    return _narrow(docs).join(lists, "doc_id").select("doc_id", "text", "wanted")
+    return _among(_narrow(docs), wanted).join(lists, "doc_id").select("doc_id", "text", "wanted")
 
 
 def _windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -221,9 +282,9 @@ def _windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     class and side where the words are.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _WordHash()
+        hashes = _WordHash()
         for batch in slices(batches, "text"):
-            h, sizes, owner, (place, content, passage) = _hashed(batch, memory)
+            h, sizes, owner, (place, content, passage) = _hashed(batch, hashes)
             at, starts, runs = place.astype(np.int64), np.cumsum(sizes) - sizes, _Runs(h)
             # Repeated rows of one doc_id may differ in text: only those that have the paragraph there are asked.
             has = np.flatnonzero(at + PARAGRAPH <= sizes[owner])
@@ -243,9 +304,9 @@ def _windows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def _prefixes(docs: DataFrame, folded: DataFrame) -> DataFrame:
     """``whole, doc_id, hi, size, marks``: for windows told by one place of each, the hashes of their nearest 1, 2, ... words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _WordHash()
+        hashes = _WordHash()
         for batch in slices(batches, "text", 1_000_000):
-            h, sizes, owner, fields = _hashed(batch, memory)
+            h, sizes, owner, fields = _hashed(batch, hashes)
             starts, runs = np.cumsum(sizes) - sizes, _Runs(h)
             place, side, passage, size, whole, hi = fields
             at = place.astype(np.int64)
@@ -268,14 +329,22 @@ def _prefixes(docs: DataFrame, folded: DataFrame) -> DataFrame:
 LEVELS = (1, 2, 4, 8, 12, 16, 20, 24, 28)
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Per window the greatest ``level`` at which another document (``have``) and a smaller one (``gone``) has the ``mark``, and those marks."""
+def _several(rows: DataFrame) -> DataFrame:
+    """``mark, least``: the marks that two documents have, and the smallest of these."""
     groups = rows.groupBy("mark").agg(F.min("doc_id").alias("least"), F.max("hi").alias("most")).where("least != most").drop("most")
-    met = rows.join(apart(groups, "mark"), "mark")
-    best, smaller = F.struct("level", "mark"), F.when(F.col("least") < F.col("doc_id"), F.struct("level", "mark"))
-    per = met.groupBy("whole").agg(F.max(best).alias("have"), F.max(smaller).alias("gone"), F.first("doc_id").alias("doc_id"), F.first("hi").alias("hi"), F.first("size").alias("size"))
-    return per.select("whole", "doc_id", "hi", "size", F.col("have.level").alias("have"), F.col("gone.level").alias("gone"),
-                      F.col("have.mark").alias("have_mark"), F.col("gone.mark").alias("gone_mark"))
+    groups = stored(groups, "passages-several")
+    released(rows.sparkSession)
+    return groups
+
+
+def _shared(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Per window the greatest ``level`` at which another document (``have``) and a smaller one (``gone``) has the ``mark``, and those marks."""
+    met = rows.join(groups, "mark")
+    smaller = F.when(F.col("least") < F.col("doc_id"), F.col("level"))
+    # A window has one mark a level, so the mark at the greatest one is fixed.
+    return met.groupBy("whole").agg(
+        F.min("doc_id").alias("doc_id"), F.min("hi").alias("hi"), F.min("size").alias("size"), F.max("level").alias("have"), F.max(smaller).alias("gone"),
+        F.max_by("mark", "level").alias("have_mark"), F.max_by("mark", smaller).alias("gone_mark"))
 
 
 def _extents(docs: DataFrame, windows: DataFrame) -> DataFrame:
@@ -286,8 +355,9 @@ def _extents(docs: DataFrame, windows: DataFrame) -> DataFrame:
     word with an unequal one are compared by their hashes at `LEVELS`, then at the lengths between
     two levels, there with all windows that agree up to the lower one. Two steps whatever the data, no pairs.
     """
-    who = F.min(F.struct("doc_id", "place", "side", "passage", "size", "first"))
-    folded = windows.groupBy("whole").agg(who.alias("who"), F.max("doc_id").alias("hi")).select("whole", "who.*", "hi")
+    # Equal windows agree in all but where they are; any place in the smallest document will do.
+    same = [F.min(c).alias(c) for c in ("side", "passage", "size", "first")]
+    folded = windows.groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.min_by("place", "doc_id").alias("place"), *same, F.max("doc_id").alias("hi"))
     folded = stored(folded, "passages-folded")
     released(docs.sparkSession)
     several = folded.groupBy("first").agg(F.min("doc_id").alias("lo"), F.max("hi").alias("most"), F.count("*").alias("n")).where("n > 1 and lo != most")
@@ -297,31 +367,32 @@ def _extents(docs: DataFrame, windows: DataFrame) -> DataFrame:
     marks = stored(_prefixes(docs, asked), "passages-marks")
     discarded(asked)
 
-    def at(level) -> Column:
-        return F.get("marks", level - F.lit(1))
+    def prefixes(rows: DataFrame, *more: str) -> DataFrame:
+        every = rows.select("whole", "doc_id", "hi", "size", *more, F.posexplode("marks").alias("at", "mark"))
+        return every.select("whole", "doc_id", "hi", "size", *more, (F.col("at") + 1).alias("level"), "mark")
 
-    levels = F.filter(F.array(*map(F.lit, LEVELS)), lambda x: x <= F.col("size"))
-    coarse = marks.select("whole", "doc_id", "hi", "size", F.inline(F.transform(levels, lambda x: F.struct(x.alias("level"), at(x).alias("mark")))))
-    found = stored(_shared(coarse), "passages-coarse")
-    released(docs.sparkSession)
+    coarse = prefixes(marks).where(F.col("level").isin(*LEVELS))
+    several = _several(coarse)
+    found = stored(_shared(coarse, several), "passages-coarse")
+    discarded(several)
     # Where the search goes on: at the last level shared, unless it is the whole window or nothing.
     open_ = F.array(F.when((F.col("doc_id") == F.col("hi")) & (F.col("have") < F.col("size")), F.col("have_mark")), F.when(F.col("gone") < F.col("size"), F.col("gone_mark")))
     places = stored(found.select(F.explode(open_).alias("mark")).where("mark is not null").distinct(), "passages-open")
-    above = F.create_map(*[F.lit(x) for pair in zip(LEVELS, (*LEVELS[1:], REACH)) for x in pair])
     # Only hashes are shuffled to find who takes part; the windows themselves come once, by their name, and go when the hashes between are stored.
-    begun = coarse.select("whole", "level", "mark").join(places, "mark", "left_semi").groupBy("whole").agg(F.collect_set("level").alias("begun"))
+    begun = coarse.select("whole", "level", "mark").join(places, "mark", "left_semi").groupBy("whole").agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("level"))).alias("begun"))
     begun = stored(begun, "passages-begun")
     released(docs.sparkSession)
-    next_ = above[F.col("level")]
-    between = F.filter(F.sequence(F.lit(2), F.lit(REACH - 1)), lambda x: (x > F.col("level")) & (x < next_) & (x <= F.col("size")))
-    fine = marks.join(begun, "whole").select("whole", "doc_id", "hi", "marks", "size", F.explode("begun").alias("level"))
-    fine = fine.select("whole", "doc_id", "hi", "size", F.inline(F.transform(between, lambda x: F.struct(x.alias("level"), at(x).alias("mark")))))
+    # The level under each length at which the search may go on; none for the levels themselves.
+    under = F.array(*[F.lit(None if n in LEVELS else max(x for x in LEVELS if x < n)).cast("int") for n in range(1, REACH)])
+    fine = prefixes(marks.join(begun, "whole"), "begun").where(F.getbit("begun", F.get(under, F.col("level") - 1)) == 1).drop("begun")
     fine = stored(fine, "passages-fine")
     discarded(marks, places, begun)
-    both = found.unionByName(_shared(fine)).groupBy("whole").agg(F.max("have").alias("have"), F.max("gone").alias("gone"))
+    several = _several(fine)
+    both = found.unionByName(_shared(fine, several)).groupBy("whole").agg(F.max("have").alias("have"), F.max("gone").alias("gone"))
     have = F.when(F.col("doc_id") < F.col("hi"), F.col("size")).otherwise(F.coalesce("have", F.lit(0)))
     ends = stored(folded.join(both, "whole", "left").select("whole", F.col("doc_id").alias("least"), have.alias("have"), F.coalesce("gone", F.lit(0)).alias("gone")), "passages-ends")
-    discarded(folded, found, fine)
+    discarded(folded, found, fine, several)
     told = windows.join(apart(ends, "whole"), "whole").where("have > 0 or least < doc_id")
     told = told.withColumn("gone", F.when(F.col("least") < F.col("doc_id"), F.col("size")).otherwise(F.col("gone")))
 
@@ -389,7 +460,7 @@ def documents_with_repeats(docs: DataFrame) -> DataFrame:
     """
     found = repeats(docs)
     per = found.groupBy("doc_id").agg(
-        F.count_distinct("passage").alias("n_passages"), _spans().alias("spans"), _spans(F.col("gone")).alias("gone"), F.sort_array(F.collect_set("first_doc")).alias("first_docs"))
+        F.size(F.collect_set("passage")).cast("long").alias("n_passages"), _spans().alias("spans"), _spans(F.col("gone")).alias("gone"), F.sort_array(F.collect_set("first_doc")).alias("first_docs"))
     removed = F.when(F.size("gone") > 0, _covered(F.col("gone"))).otherwise(0)
     return per.select("doc_id", "n_passages", _covered(F.col("spans")).alias("repeated_words"), removed.cast("long").alias("removed_words"),
                       "first_docs", (F.size("gone") > 0).alias("removed"))

@@ -4,6 +4,7 @@ import random
 import string
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -154,6 +155,28 @@ def test_similar_paragraphs_link_at_the_threshold(spark):
             assert bool(set(one.deletions(i).ravel().tolist()) & set(two.deletions(j).ravel().tolist())) == near
 
 
+def test_words_are_hashed_all_at_once():
+    long = "".join(map(str, range(40)))
+    texts = ["", None, "One", " \x0b\x0c two\x1c x\x85", "\u00c4\u00e9 " + " ".join(long[:n] for n in range(1, 70)), "ab", "CD", " \t\n\r"]
+    for column in (pa.array(texts).slice(1), pa.array(texts, pa.large_string()), [None if t is None else t.encode() for t in texts], [], [None]):
+        rows = [t.encode() if isinstance(t, str) else t for t in (column.to_pylist() if isinstance(column, pa.Array) else column)]
+        words = [(t or b"").lower().split() for t in rows]
+        hashes, sizes = passages._WordHash()(column)
+        assert sizes.tolist() == [len(w) for w in words]
+        assert hashes.tolist() == [xxhash.xxh64_intdigest(w) for x in words for w in x]
+
+
+def test_texts_that_nothing_is_wanted_of_stay_out(spark, monkeypatch):
+    docs = spark.range(-500, 4500).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    wanted = spark.createDataFrame([(i,) for i in range(-500, 4500, 100)] * 2, "doc_id long")
+    want = set(range(-500, 4500, 100))
+    found = [r.doc_id for r in passages._among(docs, wanted).collect()]
+    assert want <= set(found) and len(found) == len(set(found)) < 60
+    assert passages._among(docs, wanted.limit(0)).count() == 0
+    monkeypatch.setattr(passages, "MAP_WORDS", 2)  # too small a map lets more through and loses nothing
+    assert want <= {r.doc_id for r in passages._among(docs, wanted).collect()}
+
+
 def test_cut_keeps_the_rest(spark):
     text = "  a b\nc  d e\t" + " ".join(map(str, range(30))) + " z"
     assert passages.cut(text, [(2, 2)]) == "  a b\ne\t" + " ".join(map(str, range(30))) + " z"
