@@ -95,6 +95,14 @@ def test_generation_does_not_depend_on_partitions(spark):
     assert a == b
 
 
+def test_ids_are_not_broadcast_to_the_rows_they_pick(spark):
+    known = generate.generate_customers(generate.ids(spark, 60)).select("customer_id")
+    owned = generate.linked(generate.ids(spark, 900).union(spark.createDataFrame([(7,)], "id long")), known, "policy", 42)
+    rows = owned.collect()
+    assert "SortMergeJoin" in owned._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(rows) == 901 and len({r.id for r in rows}) == 900 and len({r.customer_id for r in rows}) == 60
+
+
 def test_flow_promotes_then_alerts(spark, generated):
     customers, policies = generated
     root = new_folder(spark, "flow")
