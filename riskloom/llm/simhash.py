@@ -87,7 +87,8 @@ def links(marks: DataFrame) -> DataFrame:
     placed = marks.select("mark", F.explode(F.array(_place(F.col("mark")))).alias("place"))
     cells = placed.select("mark", "place", F.explode(_beside(F.col("place"))).alias("cell"))
     shared = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    met = stored(cells.join(apart(shared, "cell"), "cell"), "simhash-cells")
+    # Spark takes what explode makes for as large as the table it comes from, and would send all cells to every task.
+    met = stored(cells.join(apart(shared, "cell").hint("merge"), "cell"), "simhash-cells")
     few = met.where(F.col("n") <= FULL_CELL)
     a = few.select("cell", F.col("mark").alias("a"), F.col("place").alias("pa"))
     b = few.select("cell", F.col("mark").alias("b"), F.col("place").alias("pb"))

@@ -63,6 +63,26 @@ def test_links_of_crowded_cells(spark):
     assert plain_groups(signed, [(r.a, r.b) for r in found]) == plain_groups(signed, near)
 
 
+def test_cells_are_not_broadcast(spark):
+    """Their number is 33 times that of the fingerprints, whose table is small enough to be sent to all tasks."""
+    draw = random.Random(9)
+    marks = sorted({draw.getrandbits(64) - (1 << 63) for _ in range(4000)})
+    marks += [m ^ 1 for m in marks[:50] if m ^ 1 not in set(marks)]
+    nodes = simhash.stored(spark.createDataFrame([(m,) for m in marks], "mark long"), "test-nodes")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "200k", "spark.sql.maxBroadcastTableSize": "4m"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = {(r.a, r.b) for r in simhash.links(nodes).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    every = np.array(marks).view(np.uint64)
+    near = {(a, marks[j]) for a, x in zip(marks, every) for j in np.flatnonzero(np.bitwise_count(every ^ x) <= 2) if a < marks[j]}
+    assert len(near) >= 50 and found == near
+
+
 def test_one_of_each_keeps_leaders_and_columns(spark):
     docs = frame(spark, ROWS)
     out = simhash.one_of_each(docs)
