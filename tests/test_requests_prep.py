@@ -139,3 +139,17 @@ def test_contract(spark):
     assert schemas.contract_problems(df, schemas.infer_contract(df.select(F.col("age").cast("int"), "state"))) == ["age is bigint, not int"]
     with pytest.raises(ValueError, match="missing columns"):
         schemas.conform(df, schemas.MODEL_INPUT)
+
+
+def test_kept_inputs_are_not_copied_through_the_class_joins(spark):
+    rows = [(1, "a", 5.0), (2, "b", 6.0), (None, None, None)]
+    df = spark.createDataFrame(rows, "id int, car_make string, engine_size double")
+    encoder = prep.fit_encoder(df, ["car_make"])
+    scaler = prep.fit_scaler(prep.encode(df, encoder), ["engine_size", "car_make_encoded"])
+    out = prep.transform(df, encoder, scaler, {"kept_id": "id", "kept_make": "car_make", "kept_size": "engine_size"})
+    assert out.columns == ["kept_id", "kept_make", "kept_size", "engine_size", "car_make_encoded"]
+    assert {r[:3] for r in out.collect()} == set(rows)
+    under = out._jdf.queryExecution().analyzed().toString().split("Join")[1]
+    assert under.count("car_make") and "kept_make" not in under and "_keep_car_make" not in under
+    same = prep.transform(df.select("car_make", "engine_size"), encoder, scaler, {"again": "engine_size"})
+    assert sorted(r["engine_size"] for r in same.where("again is not null").collect()) == [-1.0, 1.0]
