@@ -6,7 +6,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from riskloom.llm.base import table
+from riskloom.llm.base import stored, table
 from tests.llm.fixtures import ROWS, frame, prose
 
 
@@ -32,6 +32,22 @@ def test_stages_on_awkward_documents(spark, sf):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() and r.n_tokens == len(r.ids)
 
 
+def test_near_duplicates_need_no_large_broadcast(spark, sf):
+    """Settings in proportion to so few documents: what Spark may take for small, and what a driver has room for."""
+    rows = [(i, f"w{i} x{i * 7} y{i * 31} z", "en", "s") for i in range(16_000)]
+    docs = stored(frame(spark, rows), "test-docs")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "800k", "spark.sql.maxBroadcastTableSize": "40m"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, sf).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 15_000 < len(kept) <= 16_000 and len({r.doc_id for r in kept}) == len(kept)
+
+
 def test_stages_on_no_documents(spark, sf):
     docs = frame(spark, [])
     for _, stage in corpus_pipeline.STAGES:
